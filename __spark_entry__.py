@@ -145,23 +145,21 @@ def substring_link(spark, sf_dir):
 
 
 @register("""
-    SELECT doc_id, p_partkey FROM documents d JOIN part p ON contains(d.text, p_name) OR contains(p_name, d.text)
-    UNION ALL
-    SELECT c_custkey + 1000000000, p_partkey FROM customer JOIN part ON contains(c_mktsegment || p_type, p_type)
-      OR contains(p_type, c_mktsegment || p_type) WHERE FALSE""")
+    SELECT c_custkey, t.n_nationkey FROM customer JOIN nation n ON c_nationkey = n.n_nationkey JOIN nation t
+      ON contains(n.n_name, t.n_name) OR contains(t.n_name, n.n_name)""")
 def substring_link_names(spark, sf_dir):
-    """Short titles: names of two words against whole documents."""
-    return link_texts(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "part"), "p_partkey", "p_name")
+    """Short titles without blanks, where either side may contain the other (`NATION_1`, `NATION_12`)."""
+    nation = table(spark, sf_dir, "nation")
+    cells = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
+    return link_texts(cells, "c_custkey", "n_name", nation, "n_nationkey", "n_name")
 
 
 @register("""
-    SELECT c.conv_id, c.turn, d.doc_id FROM conversations c JOIN documents d
-      ON contains(c.text, d.text) OR contains(d.text, c.text)""")
+    SELECT d.doc_id, o.doc_id AS other_id FROM documents d JOIN documents o ON contains(d.text, o.text) OR contains(o.text, d.text)""")
 def substring_link_texts(spark, sf_dir):
     """Both sides grow with the data."""
-    turns = table(spark, sf_dir, "conversations").withColumn("key", F.struct("conv_id", "turn"))
-    links = link_texts(turns, "key", "text", table(spark, sf_dir, "documents"), "doc_id", "text")
-    return links.select("key.*", "doc_id")
+    docs = table(spark, sf_dir, "documents")
+    return link_texts(docs, "doc_id", "text", docs.withColumnRenamed("doc_id", "other_id"), "other_id", "text")
 
 
 # Keyed joins and audits ==========================================================================================
@@ -574,7 +572,7 @@ def page(spark, sf_dir):
 def page_deep(spark, sf_dir):
     """A deep page in an order whose first column has three values."""
     order = ["l_returnflag", "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice"]
-    return O.page(table(spark, sf_dir, "lineitem").select(*order), order, 4000, 1000, splits=64, top_rows=0)
+    return O.page(table(spark, sf_dir, "lineitem").select(*order), order, 4000, 1000, top_rows=0)
 
 
 @register("SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderstatus, o_orderkey OFFSET 33 LIMIT 1")
@@ -585,7 +583,7 @@ def row_at(spark, sf_dir):
 @register("SELECT row_number() OVER (ORDER BY o_orderstatus, o_orderkey) AS id, o_orderkey FROM orders")
 def assign_ids(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey")
-    return O.assign_ids(rows, ["o_orderstatus", "o_orderkey"], splits=64).drop("o_orderstatus")
+    return O.assign_ids(rows, ["o_orderstatus", "o_orderkey"]).drop("o_orderstatus")
 
 
 # Files ===========================================================================================================
@@ -891,16 +889,14 @@ def wiki_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"aops": aops, "events": events, "relations": relations, "stressors": stressors}
 
 
-def wiki_part(name: str) -> Query:
-    return lambda spark, sf_dir: wiki_plan.wiki_graph(**wiki_tables(spark, sf_dir))[name]
-
-
 @register("""SELECT doc_id AS id, source AS title, lang AS level, lang AS biological_organization, n_chars::VARCHAR AS creation_date,
     NULL::VARCHAR AS last_updated, text AS "AOPs" FROM documents
     UNION ALL SELECT NULL, x, NULL, NULL, NULL, NULL, NULL FROM (SELECT o_orderpriority AS x FROM orders UNION SELECT o_orderstatus FROM orders
       WHERE o_orderstatus <> 'P') WHERE x NOT IN (SELECT source FROM documents)""")
 def wiki_event_nodes(spark, sf_dir):
-    return wiki_part("Event")(spark, sf_dir)
+    t = wiki_tables(spark, sf_dir)
+    events = wiki_plan.event_nodes(t["events"])
+    return wiki_plan.with_stubs(events, wiki_plan.relation_ends(t["relations"]))
 
 
 @register("""
@@ -908,27 +904,29 @@ def wiki_event_nodes(spark, sf_dir):
       o_orderkey::VARCHAR AS creation_date, o_orderkey::VARCHAR AS "AOPs" FROM orders
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""")
 def wiki_relation_nodes(spark, sf_dir):
-    return wiki_part("KE_Relation")(spark, sf_dir)
+    return wiki_plan.relation_nodes(wiki_tables(spark, sf_dir)["relations"])
 
 
 @register("""SELECT c_custkey AS id, c_name AS name, c_mktsegment AS chemical, CASE WHEN c_nationkey <> 0 THEN c_nationkey + 30 END::BIGINT AS aop_id
     FROM customer""")
 def wiki_stressor_nodes(spark, sf_dir):
-    return wiki_part("Stressor")(spark, sf_dir)
+    return wiki_plan.stressor_nodes(wiki_plan.stressor_rows(wiki_tables(spark, sf_dir)["stressors"]))
 
 
 @register("""
     SELECT DISTINCT item_id AS aop_id, doc_id AS event_id FROM documents d JOIN benchmark b
       ON contains(d.text, b.text) OR contains(b.text, d.text)""")
 def wiki_has_event(spark, sf_dir):
-    return wiki_part("HAS_EVENT")(spark, sf_dir)
+    t = wiki_tables(spark, sf_dir)
+    return wiki_plan.title_links(t["events"], wiki_plan.aop_nodes(t["aops"]), "event_id")
 
 
 @register("""
     SELECT c_custkey AS stressor_id, item_id AS aop_id FROM customer JOIN benchmark ON item_id IN (c_nationkey, c_nationkey + 30)
     WHERE c_nationkey <> 0""")
 def wiki_associated_with(spark, sf_dir):
-    return wiki_part("ASSOCIATED_WITH")(spark, sf_dir)
+    t = wiki_tables(spark, sf_dir)
+    return wiki_plan.stressor_links(wiki_plan.stressor_rows(t["stressors"]), wiki_plan.aop_nodes(t["aops"]))
 
 
 @register("""
@@ -936,7 +934,8 @@ def wiki_associated_with(spark, sf_dir):
       FROM orders), k AS (SELECT rel, e.s AS side, coalesce('id:' || doc_id, 'title:' || e.t) AS ev FROM e LEFT JOIN documents ON source = e.t WHERE e.t IS NOT NULL)
     SELECT CASE side WHEN 'u' THEN ev ELSE rel END AS src, CASE side WHEN 'u' THEN rel ELSE ev END AS dst FROM k""")
 def wiki_causes(spark, sf_dir):
-    return wiki_part("CAUSES")(spark, sf_dir)
+    t = wiki_tables(spark, sf_dir)
+    return J.causes_edges(wiki_plan.relation_ends(t["relations"]), wiki_plan.event_nodes(t["events"]).select("id", "title"))
 
 
 @register("""SELECT DISTINCT o_orderkey AS aop_id, o_custkey AS relation_id FROM orders JOIN benchmark ON item_id = o_orderkey""")

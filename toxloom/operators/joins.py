@@ -4,57 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from toxloom.functions.cells import int_id, named, safe_key
 from toxloom.operators.graph import last_by, merge_edges
 from toxloom.operators.unnest import unnest_ids
 
-HOT_SHARE = 1 / 64  # a key is hot when it holds more than this share of the rows, so at most 64 keys are
-SALTS = 64
+SALTS = 32
 
 
 def broadcastable(df: DataFrame) -> bool:
     """Whether Spark's own size estimate lets it broadcast this side without being told to."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    bound = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
-    return int(str(size)) <= bound
+    return int(str(size)) <= limit
 
 
-def hot_keys(rows: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys above `share` of all rows. The counts combine map-side; at most 1/share keys can qualify."""
-    counts = rows.groupBy(*map(named, on)).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_all"))
-    return counts.where(F.col("_n") > F.lit(share) * total.scalar()).select(
-        *map(named, on), F.lit(True).alias("_hot")
-    )
+def splits_skew(spark: SparkSession) -> bool:
+    """Whether adaptive execution cuts oversized join partitions, copying only their counterpart."""
+    on = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(spark.conf.get(k).lower() == "true" for k in on)
 
 
 def lookup_join(
     rows: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "inner", spread: Sequence[str] | None = None
 ) -> DataFrame:
-    """Join many rows to a lookup side.
+    """Join many rows to a lookup side, where one key may hold a large share of the rows.
 
-    A lookup side within Spark's broadcast limit is left to Catalyst. Beyond it both sides shuffle, and keys that
-    hold a large share of the rows are cut into salted pieces; only the lookup rows of those few keys are copied.
-    `spread` names columns that tell the rows of one key apart (default: all columns).
+    No side is forced to be broadcast: Catalyst does so within its size limit. Beyond it, adaptive execution splits
+    the partition of a hot key by its map outputs. Where the session has that switched off, rows are salted over
+    `SALTS` pieces by the `spread` columns (default: all) and the lookup side is copied to each piece.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if broadcastable(lookup):
+    if broadcastable(lookup) or splits_skew(rows.sparkSession):
         return rows.join(lookup, on, how)
-    hot = F.broadcast(hot_keys(rows, on))  # at most 1/HOT_SHARE rows
-    missing = F.lit(False)
-    for c in on:
-        missing = missing | named(c).isNull()
     piece = F.pmod(F.xxhash64(*map(named, spread or rows.columns)), F.lit(SALTS)).cast("int")
-    left = rows.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | missing, piece).otherwise(F.lit(0))
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = lookup.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return left.drop("_hot").join(right, [*on, "_salt"], how).drop("_salt")
+    left = rows.withColumn("_salt", piece)
+    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
 # Key attachment and audits ---------------------------------------------------------------------------------------

@@ -4,75 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from toxloom.functions.cells import named
+from toxloom.session import work_folder
 
-SPLITS = 1024
 TOP_ROWS = 100_000  # a page that ends within this many rows is a plain top-k
 
 
-def _literal(row: Row | tuple, schema) -> Column:
-    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+def assign_ids(df: DataFrame, order_by: Sequence[str], column: str = "id", partitions: int | None = None) -> DataFrame:
+    """Dense ids from 1 in the given total order.
 
-
-def _buckets(df: DataFrame, order_by: Sequence[str], splits: int) -> tuple[Column, DataFrame]:
-    """Bucket column by sampled splitters of the whole order tuple, and the row count of each bucket.
-
-    The sample only sets how even the buckets are, never what the result is. As splitters are full tuples, a lead
-    value that holds a third of the rows is cut like any other.
+    The rows are written once, range-partitioned and sorted, one file per partition. A row's id is its place in its
+    file plus the rows of the files before: no further shuffle, and a lost executor cannot move the borders. Ranges
+    are cut over the whole order tuple, so a lead value that many rows share is cut too.
     """
-    keys = df.select(*map(named, order_by))
-    total = keys.count()
-    # About four sampled tuples per splitter; the extra rows beyond `limit` are never fetched.
-    share = min(1.0, 4.0 * splits / max(total, 1))
-    sample = sorted(
-        set(keys.sample(fraction=share, seed=7).limit(8 * splits).collect()),
-        key=lambda r: tuple((v is not None, v) for v in r),
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [named(c) for c in order_by]
+    path = work_folder(spark, "ordered")
+    (
+        df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_bucket", F.spark_partition_id())
+        .write.option("maxRecordsPerFile", 0).parquet(path)
     )
-    step = max(1, len(sample) // splits)
-    cuts = sample[step::step][: splits - 1]
-    tuple_ = F.struct(*map(named, order_by))
-    if not cuts:
-        bucket = F.lit(0)
-    else:
-        schema = keys.schema
-        bounds = F.array(*[_literal(r, schema) for r in cuts])
-        bucket = F.size(F.filter(bounds, lambda b: b <= tuple_))
-    counts = df.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count("*").alias("_n"))
-    return bucket, counts
-
-
-def assign_ids(df: DataFrame, order_by: Sequence[str], column: str = "id", splits: int = SPLITS) -> DataFrame:
-    """Dense ids from 1 in the given total order."""
-    bucket, counts = _buckets(df, order_by, splits)
-    # At most `splits` rows: this window is small whatever the table holds.
+    rows = spark.read.parquet(path).withColumn("_row", F.col("_metadata.row_index"))
+    counts = rows.groupBy("_bucket").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.select("_bucket", F.coalesce(before, F.lit(0)).alias("_start"))
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*map(named, order_by)))
-    numbered = df.withColumn("_bucket", bucket).withColumn("_row", within)
-    return numbered.join(F.broadcast(starts), "_bucket").select(
-        (F.col("_start") + F.col("_row")).alias(column), *[named(c) for c in df.columns if c != column]
+    starts = counts.select("_bucket", F.coalesce(before, F.lit(0)).alias("_start"))  # one row per partition
+    return rows.join(F.broadcast(starts), "_bucket").select(
+        (F.col("_start") + F.col("_row") + 1).alias(column), *[named(c) for c in df.columns if c != column]
     )
 
 
-def page(df: DataFrame, order_by: Sequence[str], skip: int, limit: int, splits: int = SPLITS, top_rows: int = TOP_ROWS) -> DataFrame:
-    """Rows skip+1 to skip+limit in the given total order.
-
-    A deep page first counts rows per bucket and sorts only the buckets the page touches.
-    """
+def page(df: DataFrame, order_by: Sequence[str], skip: int, limit: int, top_rows: int = TOP_ROWS) -> DataFrame:
+    """Rows skip+1 to skip+limit in the given total order. A deep page is a range of row numbers."""
     if skip + limit <= top_rows:
         return df.orderBy(*map(named, order_by)).offset(skip).limit(limit)
-    bucket, counts = _buckets(df, order_by, splits)
-    before, first, touched = 0, None, []
-    for b, n in sorted((r[0], r[1]) for r in counts.collect()):  # at most `splits` rows
-        if before + n > skip and before < skip + limit:
-            touched.append(b)
-            first = before if first is None else first
-        before += n
-    inside = df.where(bucket.isin(touched)) if touched else df.limit(0)
-    return inside.orderBy(*map(named, order_by)).offset(skip - (first or 0)).limit(limit)
+    numbered = assign_ids(df, order_by, "_place")
+    return scan_id_range(numbered, skip + 1, skip + limit + 1, "_place").drop("_place")
 
 
 def row_at(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from toxloom.functions.cells import named
 from toxloom.operators.joins import broadcastable, lookup_join
 
+# Texts of one side with no more characters than this in all may be broadcast: seven grams a character at most,
+# sixteen bytes each. A wiki's titles take about half of it.
+SMALL_CHARS = 1 << 19
+
 # (starts after a blank, length), in order of preference. The last one fits every text.
 CLASSES = [(True, 16), (True, 8), (False, 8), (False, 4), (False, 2), (False, 1), (False, 0)]
 
@@ -30,11 +34,10 @@ def _kind(text: Column) -> Column:
     return F.coalesce(*[F.when(F.size(_grams(text, k)) > 0, F.lit(i)) for i, k in enumerate(CLASSES)])
 
 
-def _needle_grams(kind: Column, text: Column) -> Column:
-    out = _grams(text, CLASSES[-1])
-    for i, k in enumerate(CLASSES[:-1]):
-        out = F.when(kind == i, _grams(text, k)).otherwise(out)
-    return F.array_distinct(out)
+def _needle_grams(text: Column) -> Column:
+    """Grams of the text's first class."""
+    found = [_grams(text, k) for k in CLASSES]
+    return F.array_distinct(F.coalesce(*[F.when(F.size(g) > 0, g) for g in found]))
 
 
 def _kinds_of(needles: DataFrame) -> list[tuple[bool, int]]:
@@ -49,16 +52,14 @@ def _hay_grams(hay: DataFrame, kinds: list[tuple[bool, int]], *cols: str) -> Dat
 
 def _first_anchors(needles: DataFrame) -> DataFrame:
     """One anchor per needle, no shuffle."""
-    keyed = needles.withColumn("kind", _kind(F.col("text")))
-    first = F.get(_needle_grams(F.col("kind"), F.col("text")), 0)
-    return keyed.select("id", "text", F.xxhash64(first).alias("gram"))
+    first = F.get(_needle_grams(F.col("text")), 0)
+    return needles.select("id", "text", F.xxhash64(first).alias("gram"))
 
 
 def _rare_anchors(needles: DataFrame) -> DataFrame:
     """One anchor per needle: of its grams the one fewest needles share, so common phrases do not pair everything."""
-    grams = needles.withColumn("kind", _kind(F.col("text"))).select(
-        "id", F.explode(_needle_grams(F.col("kind"), F.col("text"))).alias("gram")
-    ).select("id", F.xxhash64("gram").alias("gram"))
+    grams = needles.select("id", F.explode(_needle_grams(F.col("text"))).alias("gram"))
+    grams = grams.select("id", F.xxhash64("gram").alias("gram"))
     counts = grams.groupBy("gram").agg(F.count("*").alias("n"))
     ranked = lookup_join(grams, counts, "gram", "inner", ["id"])
     return ranked.groupBy("id").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
@@ -72,8 +73,16 @@ def _longest(df: DataFrame) -> Column:
     return df.agg(F.coalesce(F.max(F.length("text")), F.lit(-1)).alias("n")).scalar()
 
 
+def _is_small(texts: DataFrame) -> bool:
+    """Measured, not estimated: Spark's estimate knows nothing of the grams a text breaks into."""
+    if not broadcastable(texts):
+        return False
+    size = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    return max(size.n, size.chars) <= SMALL_CHARS
+
+
 def _links_small(left: DataFrame, right: DataFrame) -> DataFrame:
-    """The right side is within the broadcast limit: the left side is read once and never shuffled."""
+    """The right side is within `SMALL_CHARS`: the left side is never shuffled."""
     anchors = _rare_anchors(right).join(right, "id")  # one row per right row
     down = (
         _hay_grams(left, _kinds_of(right), "id", "text")
@@ -82,10 +91,12 @@ def _links_small(left: DataFrame, right: DataFrame) -> DataFrame:
         .select(F.col("id").alias("l"), "r")
     )
     shorter = left.where(F.length("text") <= _longest(right))
-    hay = _hay_grams(right, CLASSES, "id", "text").select(F.col("id").alias("r"), F.col("text").alias("hay"), "gram")
+    grams = _hay_grams(right, CLASSES, "id").withColumnRenamed("id", "r")  # at most 7 * SMALL_CHARS rows, no texts
+    hay = right.select(F.col("id").alias("r"), F.col("text").alias("hay"))
     up = (
         _first_anchors(shorter)
-        .join(hay if not broadcastable(hay) else F.broadcast(hay), "gram")
+        .join(F.broadcast(grams), "gram")
+        .join(F.broadcast(hay), "r")
         .where(F.contains("hay", "text") & (F.col("hay") != F.col("text")))
         .select(F.col("id").alias("l"), "r")
     )
@@ -135,5 +146,5 @@ def substring_link(
     its size decides the plan, not the result.
     """
     l, r = _side(left, left_key, left_text), _side(right, right_key, right_text)
-    links = _links_small(l, r) if broadcastable(r) else _links_large(l, r)
+    links = _links_small(l, r) if _is_small(r) else _links_large(l, r)
     return links.select(F.col("l").alias(left_key), F.col("r").alias(right_key))

@@ -91,28 +91,37 @@ def id_links(rows: DataFrame, aops: DataFrame, alias: str) -> DataFrame:
     return link_by_id(digits, aops, alias, "AOPs", dst="aop_id")
 
 
+def stressor_links(expanded: DataFrame, aops: DataFrame) -> DataFrame:
+    rows = expanded.withColumn("stressor_id", int_id(named("ID")))
+    return link_by_id(rows, aops, "stressor_id", "Associated AOPs", dst="aop_id")
+
+
+def relation_ends(rows: DataFrame) -> DataFrame:
+    """(id, up, down) of the relations that have an id."""
+    ends = rows.select(
+        int_id(named("ID")).alias("id"), named("Upstream Event").alias("up"), named("Downstream Event").alias("down")
+    )
+    return ends.where(F.col("id").isNotNull())
+
+
+def with_stubs(events: DataFrame, ends: DataFrame) -> DataFrame:
+    """Event nodes plus one node without id per title only relations name."""
+    return events.unionByName(event_stubs(ends, events.select("id", "title")), allowMissingColumns=True)
+
+
 def wiki_graph(
     aops: DataFrame, events: DataFrame, relations: DataFrame, stressors: DataFrame, mode: str = "title"
 ) -> dict[str, DataFrame]:
     """Node and edge tables from the four wiki tables (text columns plus `seq`)."""
     links = title_links if mode == "title" else id_links
-    aop = aop_nodes(aops)
-    event = event_nodes(events)
-    ends = relations.select(
-        int_id(named("ID")).alias("id"), named("Upstream Event").alias("up"), named("Downstream Event").alias("down")
-    ).where(F.col("id").isNotNull())
-    titled = event.select("id", "title")
-    expanded = stressor_rows(stressors)
-    stubs = event_stubs(ends, titled)
+    aop, event, ends, expanded = aop_nodes(aops), event_nodes(events), relation_ends(relations), stressor_rows(stressors)
     return {
         "AOP": aop,
-        "Event": event.unionByName(stubs, allowMissingColumns=True),
+        "Event": with_stubs(event, ends),
         "KE_Relation": relation_nodes(relations),
         "Stressor": stressor_nodes(expanded),
         "HAS_EVENT": links(events, aop, "event_id"),
         "HAS_RELATIONSHIP": links(relations, aop, "relation_id"),
-        "CAUSES": causes_edges(ends, titled),
-        "ASSOCIATED_WITH": link_by_id(
-            expanded.withColumn("stressor_id", int_id(named("ID"))), aop, "stressor_id", "Associated AOPs", dst="aop_id"
-        ),
+        "CAUSES": causes_edges(ends, event.select("id", "title")),
+        "ASSOCIATED_WITH": stressor_links(expanded, aop),
     }
