@@ -83,7 +83,7 @@ def order_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM (SELECT doc_id, {ids_sql('text')} AS ids FROM documents)""")
 def id_list_unnest(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", C.parse_ids(F.col("text")).alias("ids"))
-    return docs.select("doc_id", F.posexplode("ids").alias("pos", "id"))
+    return docs.select("doc_id", F.posexplode_outer("ids").alias("pos", "id")).where(F.col("id").isNotNull())
 
 
 @register(f"""

@@ -21,6 +21,14 @@ def stripped(c: Column) -> Column:
     return F.btrim(c, F.lit(SPACES))
 
 
+def each(items: Column) -> Column:
+    """Explode an array that is costly to compute and never null or empty, or whose null row the caller drops.
+
+    For a plain explode Catalyst infers a filter on the array's size and computes the array a second time for it.
+    """
+    return F.explode_outer(items)
+
+
 # File names -----------------------------------------------------------------------------------------------------
 
 def list_title(file: Column, prefix: str) -> Column:
@@ -84,9 +92,8 @@ def name_or_unknown(df: DataFrame, column: str = "NAME") -> Column:
 
 def parse_ids(cell: Column) -> Column:
     """Digit tokens between blanks and bars, in order, duplicates kept; a null cell gives an empty array."""
-    tokens = F.split(stripped(cell.cast("string")), "[| ]+")
-    ids = F.transform(F.filter(tokens, lambda t: t.rlike(r"^[0-9]+\z")), lambda t: t.try_cast("bigint"))
-    return F.coalesce(F.array_compact(ids), F.array().cast("array<bigint>"))
+    tokens = F.regexp_extract_all(stripped(cell.cast("string")), F.lit(r"(?<![^| ])[0-9]++(?![^| ])"), F.lit(0))
+    return F.coalesce(F.array_compact(tokens.try_cast("array<bigint>")), F.array().cast("array<bigint>"))
 
 
 def clean_name(name: str) -> str:

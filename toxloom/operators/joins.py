@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toxloom.functions.cells import int_id, named, safe_key
+from toxloom.functions.cells import each, int_id, named, safe_key
 from toxloom.operators.graph import last_by, merge_edges
 from toxloom.operators.unnest import unnest_ids
 
@@ -125,7 +125,7 @@ def event_key(id_: Column, title: Column) -> Column:
 
 def event_stubs(relations: DataFrame, events: DataFrame, ends: Sequence[str] = ("up", "down")) -> DataFrame:
     """Titles that relations name and no event bears; each becomes an event without id."""
-    named_ends = relations.select(F.explode(F.array(*map(named, ends))).alias("title"))
+    named_ends = relations.select(each(F.array(*map(named, ends))).alias("title"))
     return missing_ids(named_ends, events, "title").select(F.lit(None).cast("bigint").alias("id"), "title")
 
 
@@ -133,7 +133,7 @@ def causes_edges(relations: DataFrame, events: DataFrame) -> DataFrame:
     """upstream event -> relation -> downstream event. Every event of a title matches; a stub stands in for none."""
     ends = relations.select(
         named("id").alias("rel_id"),
-        F.explode(F.array(
+        each(F.array(
             F.struct(F.lit("up").alias("side"), named("up").alias("title")),
             F.struct(F.lit("down").alias("side"), named("down").alias("title")),
         )).alias("_end"),

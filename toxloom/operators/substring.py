@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from toxloom.functions.cells import named
+from toxloom.functions.cells import each, named
 from toxloom.operators.joins import broadcastable, lookup_join
 
 # Texts of one side with no more characters than this in all may be broadcast: seven grams a character at most,
 # sixteen bytes each. A wiki's titles take about half of it.
 SMALL_CHARS = 1 << 19
+SMALL_ANCHORS = 1_000_000  # counted anchors of sixteen bytes and a length that may be broadcast
 
 # (starts after a blank, length), in order of preference. The last one fits every text.
 CLASSES = [(True, 16), (True, 8), (False, 8), (False, 4), (False, 2), (False, 1), (False, 0)]
@@ -40,14 +41,16 @@ def _needle_grams(text: Column) -> Column:
     return F.array_distinct(F.coalesce(*[F.when(F.size(g) > 0, g) for g in found]))
 
 
-def _kinds_of(needles: DataFrame) -> list[tuple[bool, int]]:
-    """The classes the needles use: at most seven small numbers come to the driver."""
-    return [CLASSES[r.kind] for r in needles.select(_kind(F.col("text")).alias("kind")).distinct().collect()]
+def _kinds_of(needles: DataFrame) -> dict[tuple[bool, int], int]:
+    """The classes the needles use, with their counts: at most seven rows come to the driver."""
+    counts = needles.groupBy(_kind(F.col("text")).alias("kind")).count().collect()
+    return {CLASSES[r[0]]: r[1] for r in sorted(counts)}
 
 
 def _hay_grams(hay: DataFrame, kinds: list[tuple[bool, int]], *cols: str) -> DataFrame:
     grams = F.array_distinct(F.concat(*[_grams(F.col("text"), k) for k in kinds]))
-    return hay.select(*cols, F.explode(grams).alias("gram")).select(*cols, F.xxhash64("gram").alias("gram"))
+    rows = hay.select(*cols, each(grams).alias("gram")).where(F.col("gram").isNotNull())
+    return rows.select(*cols, F.xxhash64("gram").alias("gram"))
 
 
 def _first_anchors(needles: DataFrame) -> DataFrame:
@@ -57,11 +60,15 @@ def _first_anchors(needles: DataFrame) -> DataFrame:
 
 
 def _rare_anchors(needles: DataFrame) -> DataFrame:
-    """One anchor per needle: of its grams the one fewest needles share, so common phrases do not pair everything."""
-    grams = needles.select("id", F.explode(_needle_grams(F.col("text"))).alias("gram"))
+    """One anchor per needle: of its grams the one fewest needles share, so common phrases do not pair everything.
+
+    The counts come out of an explode, which Spark's size estimate does not see, so the join is told not to
+    broadcast them.
+    """
+    grams = needles.select("id", each(_needle_grams(F.col("text"))).alias("gram"))
     grams = grams.select("id", F.xxhash64("gram").alias("gram"))
     counts = grams.groupBy("gram").agg(F.count("*").alias("n"))
-    ranked = lookup_join(grams, counts, "gram", "inner", ["id"])
+    ranked = lookup_join(grams, counts.hint("merge"), "gram", "inner", ["id"])
     return ranked.groupBy("id").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
 
 
@@ -85,7 +92,7 @@ def _links_small(left: DataFrame, right: DataFrame) -> DataFrame:
     """The right side is within `SMALL_CHARS`: the left side is never shuffled."""
     anchors = _rare_anchors(right).join(right, "id")  # one row per right row
     down = (
-        _hay_grams(left, _kinds_of(right), "id", "text")
+        _hay_grams(left, list(_kinds_of(right)) or CLASSES[-1:], "id", "text")
         .join(F.broadcast(anchors.select(F.col("id").alias("r"), F.col("text").alias("needle"), "gram")), "gram")
         .where(F.contains("text", "needle"))
         .select(F.col("id").alias("l"), "r")
@@ -104,16 +111,33 @@ def _links_small(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def _contained(hay: DataFrame, needles: DataFrame) -> DataFrame:
-    """(hay id, needle id) where hay contains needle; both sides may be of any size. Texts are distinct."""
+    """(hay id, needle id) where hay contains needle; both sides may be of any size. Texts are distinct.
+
+    Anchors of classes with at most `SMALL_ANCHORS` needles are broadcast and meet the grams where those arise;
+    the grams of more frequent classes shuffle. Only ids and lengths travel; texts join back for the final check.
+    """
     needles = needles.where(F.length("text") <= _longest(hay))
-    anchors = _rare_anchors(needles).select(F.col("id").alias("n"), "gram")
-    grams = _hay_grams(hay, _kinds_of(needles) or CLASSES[-1:], "id").withColumnRenamed("id", "h")
-    candidates = lookup_join(grams, anchors, "gram", "inner", ["h"]).select("h", "n")
-    # Only candidate ids travel with the grams; the texts join back once for the final check.
-    checked = lookup_join(
-        candidates, needles.select(F.col("id").alias("n"), F.col("text").alias("needle")), "n", "inner", ["h"]
-    )
-    checked = lookup_join(checked, hay.select(F.col("id").alias("h"), "text"), "h", "inner", ["n"])
+    keyed = needles.withColumns({"kind": _kind(F.col("text")), "n_len": F.length("text")})
+    anchors = _rare_anchors(needles).join(keyed.select("id", "kind", "n_len").hint("merge"), "id")
+    anchors = anchors.withColumnRenamed("id", "n")
+    hay_sized = hay.select(F.col("id").alias("h"), "text", F.length("text").alias("h_len"))
+    kinds = _kinds_of(needles)
+    few = [k for k, n in kinds.items() if n <= SMALL_ANCHORS]
+    many = [k for k, n in kinds.items() if n > SMALL_ANCHORS]
+    found = []
+    for group in (few, many):
+        if group:
+            own = anchors.where(F.col("kind").isin([CLASSES.index(k) for k in group])).drop("kind")
+            own = F.broadcast(own) if group is few else own.hint("merge")
+            grams = _hay_grams(hay_sized, group, "h", "h_len")
+            hits = lookup_join(grams, own, "gram", "inner", ["h"])
+            found.append(hits.where(F.col("n_len") <= F.col("h_len")).select("h", "n"))
+    if not found:
+        return hay.select(F.col("id").alias("h"), F.col("id").alias("n")).limit(0)
+    candidates = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    needle_texts = needles.select(F.col("id").alias("n"), F.col("text").alias("needle"))
+    checked = lookup_join(candidates.hint("merge"), needle_texts, "n", "inner", ["h"])
+    checked = lookup_join(checked.hint("merge"), hay.select(F.col("id").alias("h"), "text"), "h", "inner", ["n"])
     return checked.where(F.contains("text", "needle")).select("h", "n")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from toxloom.functions.cells import named, stripped
+from toxloom.functions.cells import each, named, stripped
 
 
 def _others(df: DataFrame, *dropped: str) -> list[Column]:
@@ -32,7 +32,7 @@ def longest_list(lists: Column) -> Column:
 def explode_zip_longest(rows: DataFrame, cells: str = "cells", lists: str = "lis") -> DataFrame:
     """One row per position of the longest list; shorter lists are padded with an empty text."""
     last = F.greatest(F.coalesce(longest_list(named(lists)), F.lit(1)), F.lit(1)) - 1
-    split = rows.select(*_others(rows), F.explode(F.sequence(F.lit(0), last)).alias("item_pos"))
+    split = rows.select(*_others(rows), each(F.sequence(F.lit(0), last)).alias("item_pos"))
     filled = F.transform(
         named(cells),
         lambda text, i: F.when(
@@ -54,11 +54,11 @@ def explode_csv_cell(df: DataFrame, column: str, keep: Sequence[str] | None = No
     `pos` names a column for the place of the part in its cell.
     """
     kept = [c for c in (keep if keep is not None else df.columns) if c != column]
-    parts = F.posexplode(F.split(F.coalesce(named(column), F.lit("")), ",")).alias("_pos", "_part")
+    parts = F.posexplode_outer(F.split(F.coalesce(named(column), F.lit("")), ",")).alias("_pos", "_part")
     place = [F.col("_pos").alias(pos)] if pos else []
     return df.select(*map(named, kept), parts).select(*map(named, kept), *place, stripped(F.col("_part")).alias(column))
 
 
 def unnest_ids(df: DataFrame, column: str, alias: str = "dst") -> DataFrame:
     """One row per id; empty and null arrays give none."""
-    return df.select(*_others(df, column), F.explode(named(column)).alias(alias))
+    return df.select(*_others(df, column), each(named(column)).alias(alias)).where(F.col(alias).isNotNull())
