@@ -451,8 +451,8 @@ def project_props(spark, sf_dir):
 PAGE_COLUMNS = ["ID", "Title", "MIE", "AO"]
 
 
-def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A wiki main page per part: a table with two list cells of different length, and a second table to ignore."""
+def part_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a wiki main page per part: a table with two list cells of different length; a second table is ignored."""
     items = lambda c: F.concat(F.lit("<ul><li>"), F.array_join(c, "</li><li> "), F.lit("</li></ul>"))
     html = F.concat(
         F.lit("<!DOCTYPE html><html><head><script>var t='<table>';</script></head><body><p>Brand &amp; name<br>"
@@ -461,7 +461,8 @@ def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</td><td>first"), items(F.array("p_type", "p_brand", text("p_size"))), F.lit("</td><td>"),
         items(F.split("p_name", " ")), F.lit("</td></tr></tbody></table><table><tr><td>no</td></tr></table></body></html>"),
     )
-    return table(spark, sf_dir, "part").select("p_partkey", html.alias("html"))
+    pages = table(spark, sf_dir, "part").select("p_partkey", html.alias("html"))
+    return P.html_table_rows(pages, ["p_partkey"], partitions=spark.sparkContext.defaultParallelism)
 
 
 PART_LISTS = "SELECT *, [p_type, p_brand, p_size::VARCHAR] AS a, string_split(p_name, ' ') AS b FROM part"
@@ -471,7 +472,7 @@ PART_LISTS = "SELECT *, [p_type, p_brand, p_size::VARCHAR] AS a, string_split(p_
     SELECT p_partkey, p_partkey::VARCHAR AS "ID", p_brand || '&' || p_name AS "Title", x AS "MIE", x AS "AO"
     FROM (SELECT *, unnest(a) AS x FROM ({PART_LISTS}))""")
 def explode_first_list(spark, sf_dir):
-    rows = U.explode_first_list(P.html_table_rows(part_pages(spark, sf_dir), ["p_partkey"]))
+    rows = U.explode_first_list(part_table_rows(spark, sf_dir))
     return P.table_columns(rows, ["p_partkey"], PAGE_COLUMNS)
 
 
@@ -480,7 +481,7 @@ def explode_first_list(spark, sf_dir):
       coalesce(a[k + 1], '') AS "MIE", coalesce(b[k + 1], '') AS "AO"
     FROM (SELECT *, unnest(range(greatest(len(a), len(b)))) AS k FROM ({PART_LISTS}))""")
 def explode_zip_longest(spark, sf_dir):
-    rows = U.explode_zip_longest(P.html_table_rows(part_pages(spark, sf_dir), ["p_partkey"]))
+    rows = U.explode_zip_longest(part_table_rows(spark, sf_dir))
     return P.table_columns(rows.withColumnRenamed("item_pos", "item"), ["p_partkey", "item"], PAGE_COLUMNS)
 
 
@@ -490,7 +491,7 @@ def explode_zip_longest(spark, sf_dir):
       array_to_string(b, ''), greatest(len(a), len(b)) FROM ({PART_LISTS})""")
 def html_table_rows(spark, sf_dir):
     """Plain rows, header included."""
-    rows = P.html_table_rows(part_pages(spark, sf_dir), ["p_partkey"])
+    rows = part_table_rows(spark, sf_dir)
     longest = rows.select("p_partkey", "pos", "cells", U.longest_list(F.col("lis")).alias("longest"))
     flat = U.flatten_rows(longest)
     return flat.select("p_partkey", "pos", *[F.get("cells", i).alias(f"c{i}") for i in range(4)], "longest")
@@ -504,7 +505,7 @@ def li_items(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select(
         "page_id", F.concat(F.lit("<table><tr><td>"), "html", F.lit("</td></tr></table>")).alias("html")
     )
-    rows = P.html_table_rows(pages, ["page_id"])
+    rows = P.html_table_rows(pages, ["page_id"], partitions=spark.sparkContext.defaultParallelism)
     return rows.select("page_id", F.posexplode(F.get("lis", 0)).alias("item", "text"))
 
 
@@ -714,7 +715,9 @@ ASSAY_HEADS = ["DTXSID", "PREFERRED NAME", "CASRN", "MOLECULAR FORMULA", "MONOIS
 
 
 def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.decode_workbooks(order_workbooks(spark, sf_dir), ASSAY_HEADS)
+    """Decoded once, then read by every output."""
+    books = order_workbooks(spark, sf_dir)
+    return staged(W.decode_workbooks(books, ASSAY_HEADS, partitions=spark.sparkContext.defaultParallelism), "sheets")
 
 
 @register("""
@@ -895,8 +898,8 @@ def wiki_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
       WHERE o_orderstatus <> 'P') WHERE x NOT IN (SELECT source FROM documents)""")
 def wiki_event_nodes(spark, sf_dir):
     t = wiki_tables(spark, sf_dir)
-    events = wiki_plan.event_nodes(t["events"])
-    return wiki_plan.with_stubs(events, wiki_plan.relation_ends(t["relations"]))
+    ends = wiki_plan.relation_ends(t["relations"])
+    return wiki_plan.with_stubs(wiki_plan.event_nodes(t["events"]), ends, wiki_plan.event_titles(t["events"]))
 
 
 @register("""
@@ -935,7 +938,7 @@ def wiki_associated_with(spark, sf_dir):
     SELECT CASE side WHEN 'u' THEN ev ELSE rel END AS src, CASE side WHEN 'u' THEN rel ELSE ev END AS dst FROM k""")
 def wiki_causes(spark, sf_dir):
     t = wiki_tables(spark, sf_dir)
-    return J.causes_edges(wiki_plan.relation_ends(t["relations"]), wiki_plan.event_nodes(t["events"]).select("id", "title"))
+    return J.causes_edges(wiki_plan.relation_ends(t["relations"]), wiki_plan.event_titles(t["events"]))
 
 
 @register("""SELECT DISTINCT o_orderkey AS aop_id, o_custkey AS relation_id FROM orders JOIN benchmark ON item_id = o_orderkey""")
@@ -953,7 +956,7 @@ def wiki_aop_nodes(spark, sf_dir):
     """From page to node: the last list item is what stays; the shorter list ends in an empty, hence null, text."""
     from toxloom.schemas import AOP_PROPS
 
-    rows = wiki_plan.main_page_table(part_pages(spark, sf_dir), ["p_partkey"], ["ID", *AOP_PROPS.values()])
+    rows = wiki_plan.main_page_table(part_table_rows(spark, sf_dir), ["p_partkey"], ["ID", *AOP_PROPS.values()])
     return wiki_plan.aop_nodes(rows)
 
 
@@ -962,7 +965,7 @@ def wiki_aop_nodes(spark, sf_dir):
 def wiki_aop_lists(spark, sf_dir):
     """As `wiki_aop_nodes`, with all list items kept."""
     rows = wiki_plan.main_page_table(
-        part_pages(spark, sf_dir), ["p_partkey"], ["ID", "Title", "Point of Contact", "License", "MIE", "AO", "OECD Status", "OECD Project"]
+        part_table_rows(spark, sf_dir), ["p_partkey"], ["ID", "Title", "Point of Contact", "License", "MIE", "AO", "OECD Status", "OECD Project"]
     )
     nodes = wiki_plan.aop_nodes(rows, lists=True)
     return nodes.select("id", F.array_join("mie", "|").alias("mie"), F.array_join("ao", "|").alias("ao"))

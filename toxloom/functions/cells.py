@@ -69,15 +69,24 @@ def na_to_null(c: Column) -> Column:
     return F.when(~c.isin(NA_TEXTS), c)
 
 
+NUMBER = r"(?i)^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf(?:inity)?)\s*$"
+
+
+def is_number(c: Column) -> Column:
+    return F.coalesce(c.rlike(NUMBER), F.lit(False))
+
+
 def number(c: Column) -> Column:
-    """Double, or null where the text is no number or is NaN."""
-    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
+    """Double, or null where the text is no number or is NaN. Texts are tested first: a failing cast throws inside."""
+    text = c.cast("string")
+    return F.when(is_number(text), text.try_cast("double"))
 
 
 def int_id(c: Column) -> Column:
     """Integer of a text that may be written as a float (`12.0`); exact for plain integers."""
     text = c.cast("string")
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    whole = F.when(text.rlike(r"^\s*[+-]?[0-9]{1,19}\s*$"), text.try_cast("bigint"))
+    return F.coalesce(whole, number(text).try_cast("bigint"))
 
 
 def is_digits(c: Column) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toxloom.functions.cells import (
-    bioactivity_title, clean_props, content_id, hit_call, int_id, name_or_unknown, named, null_sentinel, number, parse_ids,
+    bioactivity_title, clean_props, content_id, hit_call, is_number, name_or_unknown, named, null_sentinel,
+    number, parse_ids,
 )
 from toxloom.operators.graph import last_by
 from toxloom.operators.joins import attach_dtxsid, bridge, link_chemicals, lookup_join
@@ -20,7 +21,7 @@ def _reason(numbers: Sequence[str]) -> Column:
     """Why a row makes its file unfit, or null."""
     bad_number = F.lit(False)
     for c in numbers:
-        bad_number = bad_number | (named(c).isNotNull() & named(c).try_cast("double").isNull())
+        bad_number = bad_number | (named(c).isNotNull() & ~is_number(named(c)))
     return (
         F.when(F.col("error").isNotNull(), F.col("error"))
         .when(F.col("DTXSID").isNull(), "no id for title")

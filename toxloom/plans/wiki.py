@@ -13,14 +13,14 @@ from toxloom.operators.joins import causes_edges, event_stubs, link_by_id
 from toxloom.operators.substring import substring_link
 from toxloom.operators.unnest import explode_csv_cell, explode_first_list, explode_zip_longest, flatten_rows
 from toxloom.schemas import AOP_PROPS, EVENT_LEVEL_PROPS, EVENT_PROPS, RELATION_PROPS, STRESSOR_PROPS
-from toxloom.sources.pages import html_table_rows, table_columns
+from toxloom.sources.pages import table_columns
 
 SHAPES = {"zip": explode_zip_longest, "first": explode_first_list, "flat": flatten_rows}
 
 
-def main_page_table(pages: DataFrame, keys: Sequence[str], columns: Sequence[str], shape: str = "zip") -> DataFrame:
-    """The first table of each page as named text columns with a `seq` order. Empty cells are null."""
-    rows = SHAPES[shape](html_table_rows(pages, keys))
+def main_page_table(table_rows: DataFrame, keys: Sequence[str], columns: Sequence[str], shape: str = "zip") -> DataFrame:
+    """Rows of `html_table_rows` as named text columns with a `seq` order. Empty cells are null."""
+    rows = SHAPES[shape](table_rows)
     item = F.col("item_pos") if "item_pos" in rows.columns else F.lit(0)
     rows = rows.withColumn("seq", F.struct(*map(named, keys), "pos", item.alias("item")))
     out = table_columns(rows, [*keys, "seq"], columns)
@@ -56,9 +56,14 @@ def aop_nodes(rows: DataFrame, base: DataFrame | None = None, lists: bool = Fals
 
 
 def event_nodes(rows: DataFrame, base: DataFrame | None = None) -> DataFrame:
-    """Event nodes; the level comes from the first load, the wider properties from the second, over one id."""
-    first = upsert_nodes(base, _keyed(rows, EVENT_LEVEL_PROPS), "id", list(EVENT_LEVEL_PROPS), ["seq"])
-    return upsert_nodes(first, _keyed(rows, EVENT_PROPS), "id", list(EVENT_PROPS), ["seq"])
+    """Event nodes with the properties of both loads, which read the same rows, in one upsert."""
+    props = {**EVENT_LEVEL_PROPS, **EVENT_PROPS}
+    return upsert_nodes(base, _keyed(rows, props), "id", list(props), ["seq"])
+
+
+def event_titles(rows: DataFrame) -> DataFrame:
+    """(id, title) alone, for links over titles: the wide cells stay out of the shuffle."""
+    return upsert_nodes(None, _keyed(rows, {"title": EVENT_PROPS["title"]}), "id", ["title"], ["seq"])
 
 
 def relation_nodes(rows: DataFrame) -> DataFrame:
@@ -77,12 +82,12 @@ def stressor_nodes(rows: DataFrame) -> DataFrame:
 def title_links(rows: DataFrame, aops: DataFrame, alias: str) -> DataFrame:
     """Edges AOP -> row id where the row's `AOPs` cell and the AOP title contain one another.
 
-    Rows of one id may hold several cells, so cells are made unique first and the edges last.
+    `seq` tells rows apart, so cells are linked where they lie; rows of one id meet in the small edge table.
     """
-    cells = rows.select(int_id(named("ID")).alias(alias), F.col("AOPs").alias("cell")).dropna().dropDuplicates()
-    cells = cells.withColumn("pair", F.struct(alias, "cell"))
-    hits = substring_link(cells, "pair", "cell", aops.select(F.col("id").alias("aop_id"), "title"), "aop_id", "title")
-    return merge_edges(hits.select("aop_id", F.col(f"pair.{alias}").alias(alias)), ["aop_id", alias])
+    cells = rows.select(F.struct("seq", int_id(named("ID")).alias("id")).alias("row"), named("AOPs").alias("cell"))
+    cells = cells.where(F.col("row.id").isNotNull() & F.col("cell").isNotNull())
+    hits = substring_link(cells, "row", "cell", aops.select(F.col("id").alias("aop_id"), "title"), "aop_id", "title")
+    return merge_edges(hits.select("aop_id", F.col("row.id").alias(alias)), ["aop_id", alias])
 
 
 def id_links(rows: DataFrame, aops: DataFrame, alias: str) -> DataFrame:
@@ -104,9 +109,9 @@ def relation_ends(rows: DataFrame) -> DataFrame:
     return ends.where(F.col("id").isNotNull())
 
 
-def with_stubs(events: DataFrame, ends: DataFrame) -> DataFrame:
+def with_stubs(events: DataFrame, ends: DataFrame, titles: DataFrame) -> DataFrame:
     """Event nodes plus one node without id per title only relations name."""
-    return events.unionByName(event_stubs(ends, events.select("id", "title")), allowMissingColumns=True)
+    return events.unionByName(event_stubs(ends, titles), allowMissingColumns=True)
 
 
 def wiki_graph(
@@ -114,14 +119,15 @@ def wiki_graph(
 ) -> dict[str, DataFrame]:
     """Node and edge tables from the four wiki tables (text columns plus `seq`)."""
     links = title_links if mode == "title" else id_links
-    aop, event, ends, expanded = aop_nodes(aops), event_nodes(events), relation_ends(relations), stressor_rows(stressors)
+    aop, ends, expanded = aop_nodes(aops), relation_ends(relations), stressor_rows(stressors)
+    titles = event_titles(events)
     return {
         "AOP": aop,
-        "Event": with_stubs(event, ends),
+        "Event": with_stubs(event_nodes(events), ends, titles),
         "KE_Relation": relation_nodes(relations),
         "Stressor": stressor_nodes(expanded),
         "HAS_EVENT": links(events, aop, "event_id"),
         "HAS_RELATIONSHIP": links(relations, aop, "relation_id"),
-        "CAUSES": causes_edges(ends, event.select("id", "title")),
+        "CAUSES": causes_edges(ends, titles),
         "ASSOCIATED_WITH": stressor_links(expanded, aop),
     }

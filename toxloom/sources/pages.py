@@ -81,6 +81,10 @@ class _Open:
     items: list | None = None
 
 
+class _TableEnd(Exception):
+    """The table is complete; the rest of the page need not be read."""
+
+
 class _FirstTable(HTMLParser):
     """Rows of the first table: per cell its text pieces and those of every list item in it.
 
@@ -94,10 +98,11 @@ class _FirstTable(HTMLParser):
         self.open: list[_Open] = []
         self.rows: list[list[_Open]] = []
         self.table: _Open | None = None
-        self.done = False
         self.piece: list[str] = []
 
     def end_piece(self, *_: str) -> None:
+        if not self.piece:
+            return
         text = "".join(self.piece).strip()
         self.piece.clear()
         if text and not any(e.tag in UNREAD for e in self.open):
@@ -114,11 +119,12 @@ class _FirstTable(HTMLParser):
             self.end_piece()
 
     def handle_data(self, data: str) -> None:
-        self.piece.append(data)
+        if self.table is not None:
+            self.piece.append(data)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.end_piece()
-        if self.done or tag in VOID:
+        if tag in VOID:
             return
         new = _Open(tag)
         if self.table is None:
@@ -145,30 +151,34 @@ class _FirstTable(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.end_piece()
-        if self.done or tag in VOID or not any(e.tag == tag for e in self.open):
+        if tag in VOID or not any(e.tag == tag for e in self.open):
             return
         while True:
             last = self.open.pop()
             if last is self.table:
-                self.done = True
+                raise _TableEnd
             if last.tag == tag:
                 return
 
 
 def _table_rows(html: str | None) -> list[tuple[list[str], list[list[str]]]]:
     parser = _FirstTable()
-    parser.feed(html or "")
-    parser.close()
-    parser.end_piece()
+    try:
+        parser.feed(html or "")
+        parser.close()
+        parser.end_piece()
+    except _TableEnd:
+        pass
     return [
         (["".join(c.text) for c in row], [["".join(i) for i in c.items] for c in row]) for row in parser.rows
     ]
 
 
-def html_table_rows(pages: DataFrame, keys: Sequence[str], html: str = "html") -> DataFrame:
+def html_table_rows(pages: DataFrame, keys: Sequence[str], html: str = "html", partitions: int | None = None) -> DataFrame:
     """Rows of the first table of each page: position, the page's header texts, cell texts and list items per cell.
 
-    The header row is row 0. Pages are parsed where they lie; nothing is shuffled, and a task holds one Arrow batch.
+    The header row is row 0. Pages are parsed where they lie, one Arrow batch at a time. Parsing costs far more than
+    moving a page, so give `partitions` where the pages lie in few files.
     """
     fields = pages.select(*map(named, keys)).schema.fields
     schema = T.StructType([
@@ -195,7 +205,8 @@ def html_table_rows(pages: DataFrame, keys: Sequence[str], html: str = "html") -
             arrays += [pa.array(list(c), t) for c, t in zip(columns, types)]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
 
-    return pages.select(*map(named, keys), named(html)).mapInArrow(parse, schema)
+    rows = pages.select(*map(named, keys), named(html))
+    return (rows.repartition(partitions) if partitions else rows).mapInArrow(parse, schema)
 
 
 def table_columns(rows: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:

@@ -56,10 +56,12 @@ def _rich_text(item: ElementTree.Element) -> str:
 
 
 def _number(text: str, date: bool) -> str:
+    if not date and text.isdigit():
+        return text
     value = float(text)
     if date:
         return str(datetime(1899, 12, 30) + timedelta(milliseconds=round(value * 86_400_000)))
-    return text if re.fullmatch(r"-?\d+", text) else str(int(value)) if value.is_integer() and abs(value) < 1e15 else repr(value)
+    return str(int(value)) if value.is_integer() and abs(value) < 1e15 else repr(value)
 
 
 def _cell(cell: ElementTree.Element, texts: list[str], dates: set[int]) -> str | None:
@@ -80,13 +82,12 @@ def _cell(cell: ElementTree.Element, texts: list[str], dates: set[int]) -> str |
 
 
 def _column(ref: str | None, default: int) -> int:
-    letters = re.match("[A-Z]+", ref or "")
-    if not letters:
-        return default
     n = 0
-    for letter in letters.group():
+    for letter in ref or "":
+        if letter.isdigit():
+            break
         n = n * 26 + ord(letter) - ord("A") + 1
-    return n - 1
+    return n - 1 if n else default
 
 
 def _sheet_rows(content: bytes) -> Iterator[list[str | None]]:
@@ -160,8 +161,10 @@ def workbook_columns(files: DataFrame) -> list[str]:
     return [r.name for r in first.collect()]
 
 
-def decode_workbooks(files: DataFrame, columns: Sequence[str], missing_texts: bool = True) -> DataFrame:
-    """Rows of (path, content) workbooks with the given columns as text.
+def decode_workbooks(
+    files: DataFrame, columns: Sequence[str], missing_texts: bool = True, partitions: int | None = None
+) -> DataFrame:
+    """Rows of (path, content) workbooks with the given columns as text. Give `partitions` to spread few large tasks.
 
     `row` counts from 1 below the header. `absent` lists requested columns the file lacks, `extra` those it has
     beyond them. A file that cannot be read yields one row that has only `path` and `error`.
@@ -206,7 +209,8 @@ def decode_workbooks(files: DataFrame, columns: Sequence[str], missing_texts: bo
                 yield batch_of(out)
 
     clean = na_to_null if missing_texts else (lambda c: c)
-    rows = files.select("path", "content").mapInArrow(parse, schema)
+    books = files.select("path", "content")
+    rows = (books.repartition(partitions) if partitions else books).mapInArrow(parse, schema)
     file = F.regexp_extract("path", "([^/]*)$", 1).alias("file")
     return rows.select(*meta, file, *[clean(F.col(f"c{i}")).alias(c) for i, c in enumerate(columns)])
 
