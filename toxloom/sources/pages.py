@@ -26,7 +26,7 @@ def read_pages(spark: SparkSession, folder: str, kind: str = "*") -> DataFrame:
     """Pages stored as `<kind>/<id>/<id>.html`."""
     where = F.col("_metadata.file_path")
     pattern = r"([^/]+)/(\d+)/\2\.html$"
-    return spark.read.option("wholetext", True).text(f"{folder.rstrip('/')}/{kind}/*/*.html").select(
+    return spark.read.text(f"{folder.rstrip('/')}/{kind}/*/*.html", wholetext=True).select(
         F.url_decode(F.regexp_extract(where, pattern, 1)).alias("kind"),
         F.regexp_extract(where, pattern, 2).try_cast("bigint").alias("id"),
         F.col("value").alias("html"),
