@@ -12,21 +12,23 @@ from pyspark.sql import functions as F
 
 from toxloom.functions.cells import each, named
 from toxloom.operators.joins import broadcastable, lookup_join
+from toxloom.session import staged
 
-# Texts of one side with no more characters than this in all may be broadcast: seven grams a character at most,
+# Texts of one side with no more characters than this in all may be broadcast: six grams a character at most,
 # sixteen bytes each. A wiki's titles take about half of it.
 SMALL_CHARS = 1 << 19
+OFFERED = 32
 SMALL_ANCHORS = 1_000_000  # counted anchors of sixteen bytes and a length that may be broadcast
 
 # (starts after a blank, length), in order of preference. The last one fits every text.
-CLASSES = [(True, 16), (True, 8), (False, 8), (False, 4), (False, 2), (False, 1), (False, 0)]
+CLASSES = [(True, 16), (True, 8), (False, 6), (False, 2), (False, 1), (False, 0)]
 
 
 def _grams(text: Column, kind: tuple[bool, int]) -> Column:
     at_word, length = kind
     if length == 0:
         return F.array(F.lit(""))
-    start = "(?<= )" if at_word else ""
+    start = " " if at_word else ""
     return F.regexp_extract_all(text, F.lit(f"(?s){start}(?=(.{{{length}}}))"), F.lit(1))
 
 
@@ -42,7 +44,7 @@ def _needle_grams(text: Column) -> Column:
 
 
 def _kinds_of(needles: DataFrame) -> dict[tuple[bool, int], int]:
-    """The classes the needles use, with their counts: at most seven rows come to the driver."""
+    """The classes the needles use, with their counts: at most six rows come to the driver."""
     counts = needles.groupBy(_kind(F.col("text")).alias("kind")).count().collect()
     return {CLASSES[r[0]]: r[1] for r in sorted(counts)}
 
@@ -62,11 +64,12 @@ def _first_anchors(needles: DataFrame) -> DataFrame:
 def _rare_anchors(needles: DataFrame) -> DataFrame:
     """One anchor per needle: of its grams the one fewest needles share, so common phrases do not pair everything.
 
+    Any gram of a needle is an exact anchor, so a long text only offers the `OFFERED` grams of lowest hash.
     The counts come out of an explode, which Spark's size estimate does not see, so the join is told not to
     broadcast them.
     """
-    grams = needles.select("id", each(_needle_grams(F.col("text"))).alias("gram"))
-    grams = grams.select("id", F.xxhash64("gram").alias("gram"))
+    hashes = F.array_sort(F.transform(_needle_grams(F.col("text")), lambda g: F.xxhash64(g)))
+    grams = needles.select("id", each(F.slice(hashes, 1, OFFERED)).alias("gram"))
     counts = grams.groupBy("gram").agg(F.count("*").alias("n"))
     ranked = lookup_join(grams, counts.hint("merge"), "gram", "inner", ["id"])
     return ranked.groupBy("id").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
@@ -98,7 +101,7 @@ def _links_small(left: DataFrame, right: DataFrame) -> DataFrame:
         .select(F.col("id").alias("l"), "r")
     )
     shorter = left.where(F.length("text") <= _longest(right))
-    grams = _hay_grams(right, CLASSES, "id").withColumnRenamed("id", "r")  # at most 7 * SMALL_CHARS rows, no texts
+    grams = _hay_grams(right, CLASSES, "id").withColumnRenamed("id", "r")  # at most 6 * SMALL_CHARS rows, no texts
     hay = right.select(F.col("id").alias("r"), F.col("text").alias("hay"))
     up = (
         _first_anchors(shorter)
@@ -142,12 +145,15 @@ def _contained(hay: DataFrame, needles: DataFrame) -> DataFrame:
 
 
 def _links_large(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Copies of a text count once until the links are known, then ids are put back."""
+    """Copies of a text count once until the links are known, then ids are put back.
+
+    The distinct texts are read several times, so they are written once.
+    """
 
     def keyed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows = df.withColumn("t", F.sha2("text", 256))
         texts = rows.groupBy(F.col("t").alias("id")).agg(F.any_value("text").alias("text"))
-        return rows.select("id", "t"), texts
+        return rows.select("id", "t"), staged(texts, "texts")
 
     left_ids, left_texts = keyed(left)
     right_ids, right_texts = keyed(right)
