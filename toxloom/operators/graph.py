@@ -21,8 +21,11 @@ def _list(key: Key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _has_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.dropna(how="any", subset=keys)
+def has_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose keys are all there. Plain null tests reach the scan, which `dropna` does not."""
+    for key in keys:
+        df = df.where(named(key).isNotNull())
+    return df
 
 
 def _digest(df: DataFrame, cols: list[str]) -> Column:
@@ -39,10 +42,10 @@ def last_by(df: DataFrame, key: Key, order_by: Sequence[str], cols: Sequence[str
     keys = _list(key)
     cols = [c for c in (cols or df.columns) if c not in keys]
     if not cols:
-        return _has_keys(df, keys).select(*map(named, keys)).dropDuplicates()
+        return has_keys(df, keys).select(*map(named, keys)).dropDuplicates()
     order = F.struct(*map(named, order_by), _digest(df, cols).alias("_tie"))
     last = F.max_by(F.struct(*map(named, cols)), order).alias("_last")
-    return _has_keys(df, keys).groupBy(*map(named, keys)).agg(last).select(*map(named, keys), "_last.*")
+    return has_keys(df, keys).groupBy(*map(named, keys)).agg(last).select(*map(named, keys), "_last.*")
 
 
 def upsert_nodes(
@@ -73,7 +76,7 @@ def upsert_nodes(
         F.lit(True).alias("_new"),
         order.alias("_order"),
     )
-    rows = _has_keys(old.unionByName(new), keys)
+    rows = has_keys(old.unionByName(new), keys)
     aggs = [F.max_by("_props", F.struct("_new", "_order")).alias("_props")]
     if extras:
         aggs.append(F.max_by("_extra", F.when(~F.col("_new"), 1)).alias("_extra"))
@@ -115,7 +118,7 @@ def merge_props(
     are never gathered; only its final properties meet in one group.
     """
     keys = _list(key)
-    order = F.struct(*map(named, order_by), F.to_json(named(props)).alias("_tie"))
+    order = F.struct(*map(named, order_by), _digest(updates, [props]).alias("_tie"))
     new = updates.select(*map(named, keys), named(props).alias("_map"), F.lit(True).alias("_new"), order.alias("_order"))
     if base is not None:
         old = base.select(
@@ -123,7 +126,7 @@ def merge_props(
             F.lit(None).cast(new.schema["_order"].dataType).alias("_order"),
         )
         new = old.unionByName(new)
-    cells = _has_keys(new, keys).select(
+    cells = has_keys(new, keys).select(
         *map(named, keys), F.explode_outer("_map").alias("_prop", "_value"), F.struct("_new", "_order").alias("_seq")
     )
     last = cells.groupBy(*map(named, keys), "_prop").agg(F.max_by(F.struct("_value"), F.col("_seq")).alias("_last"))
@@ -139,7 +142,7 @@ def merge_edges(edges: DataFrame, keys: Sequence[str], existing: DataFrame | Non
     rows = edges.select(*map(named, keys))
     if existing is not None:
         rows = existing.select(*map(named, keys)).unionByName(rows)
-    return _has_keys(rows, keys).dropDuplicates(keys)
+    return has_keys(rows, keys).dropDuplicates(keys)
 
 
 def new_edges(edges: DataFrame, keys: Sequence[str], existing: DataFrame) -> DataFrame:

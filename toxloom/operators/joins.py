@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from toxloom.functions.cells import each, int_id, named, safe_key
-from toxloom.operators.graph import last_by, merge_edges
+from toxloom.operators.graph import has_keys, last_by, merge_edges
 from toxloom.operators.unnest import unnest_ids
 
 SALTS = 32
@@ -62,8 +62,8 @@ def attach_dtxsid(rows: DataFrame, titles: DataFrame, title: str = "title", spre
 def missing_ids(expected: DataFrame, collected: DataFrame, key: str) -> DataFrame:
     """Expected ids that were not collected. Both sides shrink to distinct ids before they meet."""
     return (
-        expected.select(named(key)).dropna().dropDuplicates()
-        .join(collected.select(named(key)).dropna().dropDuplicates(), key, "left_anti")
+        has_keys(expected.select(named(key)), [key]).dropDuplicates()
+        .join(has_keys(collected.select(named(key)), [key]).dropDuplicates(), key, "left_anti")
     )
 
 
@@ -72,7 +72,7 @@ def coverage_audit(expected: DataFrame, collected: DataFrame, key: str) -> DataF
     sides = expected.select(named(key), F.lit(1).alias("_e"), F.lit(0).alias("_c")).unionByName(
         collected.select(named(key), F.lit(0).alias("_e"), F.lit(1).alias("_c"))
     )
-    counts = sides.dropna(subset=[key]).groupBy(named(key)).agg(F.sum("_e").alias("_e"), F.sum("_c").alias("collected"))
+    counts = has_keys(sides, [key]).groupBy(named(key)).agg(F.sum("_e").alias("_e"), F.sum("_c").alias("collected"))
     status = (
         F.when(F.col("collected") == 0, "missing").when(F.col("_e") == 0, "unexpected")
         .when(F.col("collected") > 1, "repeated")
@@ -137,8 +137,9 @@ def causes_edges(relations: DataFrame, events: DataFrame) -> DataFrame:
             F.struct(F.lit("up").alias("side"), named("up").alias("title")),
             F.struct(F.lit("down").alias("side"), named("down").alias("title")),
         )).alias("_end"),
-    ).select("rel_id", "_end.*").dropna().dropDuplicates()
-    titles = events.select("title", event_key(F.col("id"), F.col("title")).alias("_key")).dropna()
+    ).select("rel_id", "_end.*")
+    ends = has_keys(ends, ["rel_id", "title"]).dropDuplicates()
+    titles = has_keys(events, ["title"]).select("title", event_key(F.col("id"), F.col("title")).alias("_key"))
     hits = lookup_join(ends, titles, "title", "left", ["rel_id", "side"])
     event = F.coalesce(F.col("_key"), event_key(F.lit(None), F.col("title")))
     relation = F.concat(F.lit("rel:"), F.col("rel_id").cast("string"))

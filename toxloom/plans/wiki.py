@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from toxloom.functions.cells import int_id, is_digits, named, project_props
-from toxloom.operators.graph import last_by, merge_edges, update_nodes, upsert_nodes
+from toxloom.operators.graph import has_keys, last_by, merge_edges, update_nodes, upsert_nodes
 from toxloom.operators.joins import causes_edges, event_stubs, link_by_id
 from toxloom.operators.substring import substring_link
 from toxloom.operators.unnest import explode_csv_cell, explode_first_list, explode_zip_longest, flatten_rows
@@ -45,7 +45,7 @@ def aop_nodes(rows: DataFrame, base: DataFrame | None = None, lists: bool = Fals
     if not lists:
         return nodes
     # At most one list cell per AOP row: the group is one page row's items.
-    items = keyed.dropna(subset=["id"]).groupBy("id").agg(
+    items = has_keys(keyed, ["id"]).groupBy("id").agg(
         F.array_sort(F.collect_list(F.struct("seq", "mie", "ao"))).alias("_items")
     ).select(
         "id",

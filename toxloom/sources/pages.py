@@ -46,7 +46,7 @@ def url_frontier(spark: SparkSession, base_url: str, kind: str, start: int, end:
 
 def frontier(starts: DataFrame, base_url: str, kind: str, walk: int = 100, start: str = "start") -> DataFrame:
     """As `url_frontier`, from a table of walk starts; ids that several walks reach appear once."""
-    ids = starts.select(named(start).alias("_s")).dropna().select(
+    ids = starts.select(named(start).alias("_s")).where(F.col("_s").isNotNull()).select(
         F.explode(F.sequence(F.col("_s"), F.col("_s") + (walk - 1))).alias("id")
     )
     url = F.concat(F.lit(base_url.rstrip("/") + "/"), F.col("id").cast("string"))
