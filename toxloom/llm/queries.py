@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from toxloom.llm import exact_dedup, mixing, packing, token_counts
+from toxloom.llm import exact_dedup, language_id, mixing, packing, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,3 +55,10 @@ def op6_token_counts(spark, sf_dir):
 def op10_best_fit_packing(spark, sf_dir):
     """All documents packed into sequences of 1,024 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op7_language_id(spark, sf_dir):
+    """Language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out("doc_id", 4, 2))
+    return language_id.identify(docs, language_id.train(docs.where("not held_out")), ["doc_id", "held_out"])
