@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from toxloom.llm import exact_dedup, language_id, mixing, packing, token_counts
+from toxloom.llm import exact_dedup, language_id, mixing, packing, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,3 +62,12 @@ def op7_language_id(spark, sf_dir):
     """Language of every document, learned from three quarters of them."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out("doc_id", 4, 2))
     return language_id.identify(docs, language_id.train(docs.where("not held_out")), ["doc_id", "held_out"])
+
+
+@register()
+def op9_toxicity(spark, sf_dir):
+    """Toxicity of every document, learned from labels of two thirds of the ids."""
+    out = language_id.held_out("doc_id", 3, 1)
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", out)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").where(~out))
+    return toxicity.score(docs, model, ["doc_id", "held_out"])
