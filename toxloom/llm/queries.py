@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from toxloom.llm import exact_dedup, language_id, mixing, packing, token_counts, toxicity
+from toxloom.llm import exact_dedup, jaccard_join, language_id, mixing, packing, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,3 +71,9 @@ def op9_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("held_out", out)
     model = toxicity.train(docs, table(spark, sf_dir, "labels").where(~out))
     return toxicity.score(docs, model, ["doc_id", "held_out"])
+
+
+@register()
+def op8_jaccard_join(spark, sf_dir):
+    """Class and number of links of every document: five-word shingles, similarity of 0.8 or more."""
+    return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
