@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from toxloom.llm import exact_dedup, jaccard_join, language_id, mixing, packing, token_counts, toxicity
+from toxloom.llm import exact_dedup, jaccard_join, language_id, mixing, packing, token_counts, toxicity, vector_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,3 +77,10 @@ def op9_toxicity(spark, sf_dir):
 def op8_jaccard_join(spark, sf_dir):
     """Class and number of links of every document: five-word shingles, similarity of 0.8 or more."""
     return jaccard_join.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op4_vector_search(spark, sf_dir):
+    """Ten nearest of all vectors for each whose id is divisible by 100."""
+    rows = table(spark, sf_dir, "embeddings")
+    return vector_search.search(rows, rows.where("vec_id % 100 = 0"))
