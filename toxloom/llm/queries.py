@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from toxloom.llm import exact_dedup, jaccard_join, language_id, mixing, packing, token_counts, toxicity, vector_search
+from toxloom.llm import exact_dedup, jaccard_join, language_id, mixing, ngram_trie, packing, token_counts, toxicity, vector_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +84,10 @@ def op4_vector_search(spark, sf_dir):
     """Ten nearest of all vectors for each whose id is divisible by 100."""
     rows = table(spark, sf_dir, "embeddings")
     return vector_search.search(rows, rows.where("vec_id % 100 = 0"))
+
+
+@register()
+def op5_ngram_trie(spark, sf_dir):
+    """Log probability of every document under a trigram model of six sevenths of them."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out("doc_id", 7, 2))
+    return ngram_trie.score(docs, ngram_trie.train(docs.where("not held_out")), ["doc_id", "held_out"])

@@ -23,7 +23,7 @@ PART = 2048       # vectors of a list that one task scans
 ASKED = 256       # queries of a list that one task answers
 BLOCK = 16        # columns
 EPSILON = 2.6     # of the test: larger abandons less
-PROBED = 0.6      # share of the lists that a query probes
+PROBED = 0.7      # share of the lists that a query probes
 BATCH = 256
 
 
