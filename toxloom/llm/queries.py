@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from toxloom.llm import exact_dedup, jaccard_join, language_id, mixing, ngram_trie, packing, token_counts, toxicity, vector_search
+from toxloom.llm import exact_dedup, jaccard_join, language_id, mixing, ngram_trie, packing, passages, token_counts, toxicity, vector_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,3 +91,9 @@ def op5_ngram_trie(spark, sf_dir):
     """Log probability of every document under a trigram model of six sevenths of them."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out("doc_id", 7, 2))
     return ngram_trie.score(docs, ngram_trie.train(docs.where("not held_out")), ["doc_id", "held_out"])
+
+
+@register()
+def op3_shared_passages(spark, sf_dir):
+    """Passages of 50 words or more that documents share."""
+    return passages.shared_passages(table(spark, sf_dir, "documents"))
