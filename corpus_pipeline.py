@@ -5,18 +5,44 @@ Each stage takes (spark, docs, sf_dir) and returns a frame, which is written and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import string
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from toxloom.llm import exact_dedup, mixing, packing
+from toxloom.llm import exact_dedup, jaccard_join, language_id, mixing, packing
 from toxloom.session import staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is null or has no letter go, as no language can be told. Those kept get the predicted language."""
+    own = docs.select(*COLUMNS)
+    found = language_id.identify(own, language_id.train(own.where(~language_id.held_out("doc_id", 4, 2))), COLUMNS)
+    return found.where("lang_pred <> 'und'").select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
+
+
+#: Joins of whole documents go by id and text, as ids may be null or repeat.
+ID = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts that are equal but for the case of A-Z, the row with the largest id stays."""
-    return exact_dedup.exact_groups(docs, keep=COLUMNS).where("kept").select(*COLUMNS)
+    """Of texts that are equal but for the case of A-Z, the row with the largest id stays.
+
+    The groups travel as hashes. Texts move once, to meet the rows that stay; of rows that repeat id and text one is taken.
+    """
+    stay = exact_dedup.exact_groups(docs).where("kept").select(ID.alias("_id"), F.col("text_sha256").alias("_sha"))
+    lower = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    keyed = docs.select(*COLUMNS, ID.alias("_id"), F.sha2(lower.cast("binary"), 256).alias("_sha"))
+    once = F.row_number().over(Window.partitionBy("_id", "_sha").orderBy("source", "lang", "text"))
+    return keyed.join(stay, ["_id", "_sha"]).withColumn("_n", once).where("_n = 1").select(*COLUMNS)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links of a similarity of 0.8 or more connect, the one with the smallest id stays."""
+    go = jaccard_join.jaccard_groups(docs).where("not kept").select(ID.alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.select(*COLUMNS, ID.alias("_id"), F.xxhash64("text").alias("_hash")).join(go, ["_id", "_hash"], "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +56,10 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs)
 
 
-STAGES = [("exact_dedup", drop_copies), ("mix_sources", mix_sources), ("pack", pack)]
+STAGES = [
+    ("language_id", identify_languages), ("exact_dedup", drop_copies), ("jaccard_join", drop_near_copies), ("mix_sources", mix_sources),
+    ("best_fit_packing", pack),
+]
 #: Permutations, models and tokenizers are beyond SQL.
 ORACLE_SQL = None
 

@@ -291,7 +291,7 @@ def compared(docs: DataFrame, key: str, text: str, threshold: float, k: int, rec
     same = texts["key"].eqNullSafe(asked["key"]) & (texts["th"] == asked["th"])
     sets = texts.join(asked, same, "left_semi").select("text").mapInArrow(run, "c binary, items array<bigint>").dropDuplicates(["c"])
     members = met.join(staged(sets, "sets"), "c").join(classes.select("c", "members"), "c")
-    return rows.select("key", "c", "n"), classes.select("c", "members"), staged(checked(members, threshold, pairs), "links")
+    return rows.select("key", "th", "c", "n"), classes.select("c", "members"), staged(checked(members, threshold, pairs), "links")
 
 
 def similar_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, k: int = SHINGLE, recall: float = RECALL, bucket: int = BUCKET) -> tuple[DataFrame, DataFrame]:
@@ -303,10 +303,11 @@ def similar_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
 def jaccard_groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, k: int = SHINGLE, recall: float = RECALL, bucket: int = BUCKET,
 ) -> DataFrame:
-    """One row per document: `key`, `class_id`, `n_links`, `n_shingles`.
+    """One row per document: `key`, `class_id`, `n_links`, `n_shingles`, `text_hash`, `kept`.
 
     `class_id` is the smallest key of the documents that links connect; `n_links` counts the other documents whose similarity
-    is at least the threshold, copies included. Shingles are of five words, A-Z lower-cased; a shorter text is one shingle.
+    is at least the threshold, copies included. `kept` marks the class's row with the smallest key (of equal keys, the smallest hash of the text; of equal texts
+    too, all). Shingles are of five words, A-Z lower-cased; a shorter text is one shingle.
     Null, empty and blank texts have none: no links, and a class of their own. Repeated rows are copies. A null key comes
     first. An empty table gives an empty one; other columns are ignored.
     """
@@ -317,8 +318,10 @@ def jaccard_groups(
         "c", F.coalesce("root", "c").alias("root"), (F.coalesce("far", F.lit(0)) + F.col("members") - 1).alias("n_links")
     )
     held = staged(rows.join(facts, "c", "left"), "facts")
-    smallest = held.where("root is not null").groupBy("root").agg(F.min("key").alias("class_id"))
+    smallest = held.where("root is not null").groupBy("root").agg(F.min(F.struct("key", "th")).alias("best"))
+    alone = F.col("root").isNull()
     return held.join(smallest, "root", "left").select(
-        F.col("key").alias(key), F.when(F.col("root").isNull(), F.col("key")).otherwise(F.col("class_id")).alias("class_id"),
+        F.col("key").alias(key), F.when(alone, F.col("key")).otherwise(F.col("best.key")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.col("n").cast("bigint").alias("n_shingles"),
+        F.col("th").alias("text_hash"), (alone | (F.col("best.key").eqNullSafe(F.col("key")) & (F.col("best.th") == F.col("th")))).alias("kept"),
     )

@@ -155,11 +155,12 @@ class Mix:
     def texts(self) -> DataFrame:
         """The mix itself: `shard`, `slot` (number in its source), `lo`, the document's columns, and `text`, its words in that slot."""
         word = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
-        spans = self.spans().groupBy("uid").agg(F.collect_list(F.struct("source_no", "block", "lo", "hi")).alias("spans"))  # of one document
-        cut = self.sized.select("uid", "row", word.alias("words")).join(spans, "uid").select("row", "words", F.explode("spans").alias("s")).select(
-            "row", "s.*", F.array_join(F.slice("words", (F.col("s.lo") + 1).cast("int"), (F.col("s.hi") - F.col("s.lo")).cast("int")), "").alias("text")
-        )
-        return cut.join(self.slots, ["source_no", "block"]).select("shard", F.col("k").alias("slot"), "lo", *self._columns(), "text")
+        # Spans and slots meet by index, without texts; a document then has at most three times its blocks.
+        drawn = self.spans().join(self.slots, ["source_no", "block"]).groupBy("uid").agg(F.collect_list(F.struct("shard", "k", "lo", "hi")).alias("spans"))
+        cut = self.sized.select("uid", "row", word.alias("words")).join(drawn, "uid").select("row", "words", F.explode("spans").alias("s"))
+        size = (F.col("s.hi") - F.col("s.lo")).cast("int")
+        text = F.array_join(F.slice("words", (F.col("s.lo") + 1).cast("int"), size), "")
+        return cut.select("s.shard", F.col("s.k").alias("slot"), "s.lo", *self._columns(), text.alias("text"))
 
     def _columns(self):
         return [F.col(f"row.c{i}").alias(c) for i, c in enumerate(self.columns)]
