@@ -25,7 +25,7 @@ from toxloom.llm.words import once, slices
 from toxloom.session import work_folder
 
 GROUP = 4096  # items that one task packs together
-SLACK = 4     # free tokens of a bin that counts as nearly full in the first round; doubles with each round
+SLACK = 256   # a bin with this part of it free counts as nearly full in the first round; the room doubles with each round
 #: Letters on which all versions of the tables of characters agree. Other texts take the tokenizer's own, slower way.
 PLAIN = re.compile(r"[\t\n\r\x20-\x7EÀ-ɏ]*")
 
@@ -128,7 +128,7 @@ def pack(items: DataFrame, size: int, group: int = GROUP, slack: int = SLACK) ->
     )
     left, levels, level = rest.count(), [], 0
     while left:
-        groups, room = -(-left // group), slack << min(level, 20)
+        groups, room = -(-left // group), (size << min(level, 20)) // slack
 
         out = f"{folder}/round-{level}"
         rest.groupBy(F.pmod(F.xxhash64("bin", F.lit(level)), F.lit(groups)).alias("_group")).applyInPandas(
