@@ -47,3 +47,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = work_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of `work_folder` that its owner no longer reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
