@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from toxloom.llm.words import mix, once, raw, slices
-from toxloom.session import staged
+from toxloom.session import discard, staged, work_folder
 
 WINDOW = 16      # bytes that decide a cut
 MASK = 0x7FF     # a cut every 2,048 bytes on average
@@ -81,14 +81,18 @@ def with_recipes(docs: DataFrame, columns: Sequence[str], text: str = "text", wi
     Chunks with equal hashes are compared by their bytes. Where one hash has several contents, they are numbered and the
     identifiers that these documents carry gain the number.
     """
-    cut = staged(chunked(docs, columns, text, width), "chunks")
+    spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "chunks")
+    chunked(docs, columns, text, width).write.parquet(folder)
+    cut = spark.read.parquet(folder)
     pair = cut.select(F.explode(F.arrays_zip("recipe", "chunks")).alias("x")).select(F.col("x.recipe").alias("h"), F.col("x.chunks").alias("bytes"))
     distinct = pair.groupBy("h", "bytes").agg(F.count("*").alias("n"))
     # One row per verified chunk: a hash that has two of them is ambiguous.
     doubtful = staged(distinct.groupBy("h").agg(F.count("*").alias("contents")).where("contents > 1").select("h"), "doubtful")
     plain = cut.drop("chunks")
     if doubtful.isEmpty():
-        return plain
+        found = staged(plain, "recipes")
+        discard(spark, folder)  # the texts: nothing reads them any more
+        return found
     numbered = distinct.join(doubtful, "h").select(
         "h", "bytes", (F.row_number().over(Window.partitionBy("h").orderBy("bytes")) - 1).cast("string").cast("binary").alias("number")
     )

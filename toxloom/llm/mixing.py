@@ -157,7 +157,7 @@ class Mix:
         word = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
         # Spans and slots meet by index, without texts; a document then has at most three times its blocks.
         drawn = self.spans().join(self.slots, ["source_no", "block"]).groupBy("uid").agg(F.collect_list(F.struct("shard", "k", "lo", "hi")).alias("spans"))
-        cut = self.sized.select("uid", "row", word.alias("words")).join(drawn, "uid").select("row", "words", F.explode("spans").alias("s"))
+        cut = self.sized.select("uid", "row", "text").join(drawn, "uid").select("row", word.alias("words"), F.explode("spans").alias("s"))
         size = (F.col("s.hi") - F.col("s.lo")).cast("int")
         text = F.array_join(F.slice("words", (F.col("s.lo") + 1).cast("int"), size), "")
         return cut.select("s.shard", F.col("s.k").alias("slot"), "s.lo", *self._columns(), text.alias("text"))
