@@ -28,7 +28,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 TOKENS = 64      # of a sketch
 BRANCH = 2       # sampled positions of a node
-BUCKET = 256     # classes that are compared at once
+BUCKET = 512     # classes that are compared at once
 DEEPEST = 6
 ALIKE = 0.5      # a child with so much of its parent's members holds alike ones
 RECALL = 0.9999
@@ -177,9 +177,9 @@ def promising(dealt: DataFrame, threshold: float) -> DataFrame:
                     ok &= here_first(int(path[lo]), paths[lo:hi], int(x[lo]), int(y[lo]), own[lo:hi])
                     keep[lo:hi] = ok.any(axis=0) | ok.any(axis=1)
             if keep.any():
-                yield from table.select([*GROUP, "own", "c", "paths"]).filter(pa.array(keep)).to_batches()
+                yield from table.select([*GROUP, "own", "c", "members", "paths"]).filter(pa.array(keep)).to_batches()
 
-    return grouped(dealt).mapInArrow(run, "path bigint, x int, y int, own int, c binary, paths array<bigint>")
+    return grouped(dealt).mapInArrow(run, "path bigint, x int, y int, own int, c binary, members bigint, paths array<bigint>")
 
 
 def checked(members: DataFrame, threshold: float, pairs: bool) -> DataFrame:
@@ -227,7 +227,7 @@ def checked(members: DataFrame, threshold: float, pairs: bool) -> DataFrame:
 
 
 def buckets(classes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, bucket: int = BUCKET, branch: int = BRANCH) -> DataFrame:
-    """(path, x, y, own, c, paths): groups of classes (c, n, sketch) with candidates among them."""
+    """(path, x, y, own, c, members, paths): groups of classes (c, n, members, sketch) with candidates among them."""
     runs = runs_needed(threshold, recall, branch)
     rows = classes.select(F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(runs).cast("bigint"))).alias("path"), "c", "sketch", F.lit(2**62).alias("size"))
     ready: list[DataFrame] = []
@@ -247,9 +247,9 @@ def buckets(classes: DataFrame, threshold: float = THRESHOLD, recall: float = RE
     # the pairs of its block with every block.
     blocks = F.ceil(F.col("b.size") / bucket).cast("int")
     reached = every.groupBy("c").agg(F.collect_list(F.struct("path", "size")).alias("reached")).join(classes, "c")
-    each = reached.select("c", "n", "sketch", F.expr("transform(reached, x -> x.path)").alias("paths"), F.explode("reached").alias("b"))
+    each = reached.select("c", "n", "members", "sketch", F.expr("transform(reached, x -> x.path)").alias("paths"), F.explode("reached").alias("b"))
     each = each.select("*", F.col("b.path").alias("path"), F.pmod(F.xxhash64("c"), blocks).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    dealt = each.select("path", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "c", "n", "sketch", "paths")
+    dealt = each.select("path", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "c", "n", "members", "sketch", "paths")
     return promising(dealt, threshold)
 
 
@@ -275,7 +275,7 @@ def compared(docs: DataFrame, key: str, text: str, threshold: float, k: int, rec
     rows = staged(described(docs, key, text, k), "sketches")
     first = F.min(F.struct("key", "th"))
     classes = staged(rows.where("c is not null").groupBy("c").agg(first.alias("first"), F.count("*").alias("members"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
-    met = staged(buckets(classes.select("c", "n", "sketch"), threshold, recall, bucket), "candidates")
+    met = staged(buckets(classes.select("c", "n", "members", "sketch"), threshold, recall, bucket), "candidates")
     asked = met.select("c").distinct().join(classes.select("c", "first.*"), "c").select("key", "th").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,7 +290,7 @@ def compared(docs: DataFrame, key: str, text: str, threshold: float, k: int, rec
     texts = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
     same = texts["key"].eqNullSafe(asked["key"]) & (texts["th"] == asked["th"])
     sets = texts.join(asked, same, "left_semi").select("text").mapInArrow(run, "c binary, items array<bigint>").dropDuplicates(["c"])
-    members = met.join(staged(sets, "sets"), "c").join(classes.select("c", "members"), "c")
+    members = met.join(staged(sets, "sets"), "c")
     return rows.select("key", "th", "c", "n"), classes.select("c", "members"), staged(checked(members, threshold, pairs), "links")
 
 
