@@ -11,10 +11,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from toxloom.llm.words import mix
+from toxloom.llm.words import mix, raw, slices, words
 from toxloom.session import staged
 
 BLOCK = 128        # words
@@ -154,13 +155,29 @@ class Mix:
 
     def texts(self) -> DataFrame:
         """The mix itself: `shard`, `slot` (number in its source), `lo`, the document's columns, and `text`, its words in that slot."""
-        word = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
         # Spans and slots meet by index, without texts; a document then has at most three times its blocks.
         drawn = self.spans().join(self.slots, ["source_no", "block"]).groupBy("uid").agg(F.collect_list(F.struct("shard", "k", "lo", "hi")).alias("spans"))
-        cut = self.sized.select("uid", "row", "text").join(drawn, "uid").select("row", word.alias("words"), F.explode("spans").alias("s"))
-        size = (F.col("s.hi") - F.col("s.lo")).cast("int")
-        text = F.array_join(F.slice("words", (F.col("s.lo") + 1).cast("int"), size), "")
-        return cut.select("s.shard", F.col("s.k").alias("slot"), "s.lo", *self._columns(), text.alias("text"))
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in slices(batches):
+                texts = raw(part)
+                w = words(texts)
+                begin = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
+                row, shard, slot, first, own = [], [], [], [], []
+                for i, (t, spans) in enumerate(zip(texts, part.column("spans").to_pylist())):
+                    for s in spans:
+                        a, b = w.first[i] + s["lo"], w.first[i] + s["hi"] - 1
+                        row.append(i), shard.append(s["shard"]), slot.append(s["k"]), first.append(s["lo"])
+                        own.append(t[w.start[a] - begin[i]:w.end[b] - begin[i]].decode())
+                columns = [pa.array(x, pa.int64()) for x in (shard, slot, first)]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, *(part.column(c).take(pa.array(row, pa.int64())) for c in self.columns), pa.array(own, pa.string())],
+                    names=["shard", "slot", "lo", *self.columns, "part"],
+                )
+
+        held = self.sized.select("uid", *self._columns(), F.col("text").alias("_text")).join(drawn, "uid").drop("uid").withColumnRenamed("_text", "text")
+        schema = ", ".join(f"`{c}` {held.schema[c].dataType.simpleString()}" for c in self.columns)
+        return held.mapInArrow(cut, f"shard bigint, slot bigint, lo bigint, {schema}, part string").withColumnRenamed("part", "text")
 
     def _columns(self):
         return [F.col(f"row.c{i}").alias(c) for i, c in enumerate(self.columns)]
