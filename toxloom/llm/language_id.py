@@ -20,7 +20,7 @@ from toxloom.llm.words import once, slices
 
 PART = 24         # longer runs of letters are scored in parts of so many characters; none are dropped
 ROUNDS = 2        # of expectation and maximisation, each over all training texts
-CELLS = 1 << 18
+CELLS = 1 << 16
 SMOOTH = 0.1      # added to each piece's expected count
 UNKNOWN = 0       # the piece that stands for any character outside the vocabulary
 LANGUAGES = 1000  # a table of piece probabilities has so many rows at most
@@ -46,7 +46,7 @@ def distinct_words(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.nda
     A word is a run of letters, lower-cased, behind the mark of a space.
     """
     flat = np.concatenate([P.code_points(t + " ") for t in texts] or [np.empty(0, np.uint32)])
-    owner = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
+    begin = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
     flat = letters()[np.minimum(flat, 0x10FFFF)]
     inside = flat > 0
     edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
@@ -61,7 +61,7 @@ def distinct_words(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.nda
         none = np.empty(0, np.int64)
         return flat, prefix, none, none, none, none
     index, inverse = P.unique_rows(flat, start, end - start, prefix)
-    return flat, prefix, start[index], (end - start)[index], inverse, owner[start]
+    return flat, prefix, start[index], (end - start)[index], inverse, np.searchsorted(begin, start, "right") - 1
 
 
 def lattice(flat: np.ndarray, prefix: np.ndarray, start: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, int, list]]:

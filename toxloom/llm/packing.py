@@ -7,6 +7,7 @@ groups, until they fit in one.
 
 from __future__ import annotations
 
+import base64
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -30,24 +31,24 @@ SLACK = 256   # a bin with this part of it free counts as nearly full in the fir
 PLAIN = re.compile(r"[\t\n\r\x20-\x7EÀ-ɏ]*")
 
 
-def tokenizer(name: str) -> tuple[Tokenizer, tiktoken.Encoding]:
-    def make():
-        import base64
+def tokenizer(name: str) -> Tokenizer:
+    return once(("tokenizer", name), lambda: Tokenizer.from_file(public_tokenizers.path(f"{name}.json")))
 
-        own = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
+
+def ranked(name: str) -> tiktoken.Encoding:
+    def make() -> tiktoken.Encoding:
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        return own, tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    return once(("tokenizer", name), make)
+    return once(("ranks", name), make)
 
 
 def encode(name: str, text: str) -> list[int]:
     """The ids that the vocabulary's .json gives. The same merges from its rank file are several times faster, and take plain texts."""
-    own, ranks = tokenizer(name)
     if PLAIN.fullmatch(text) and "<|" not in text:
-        return ranks.encode_ordinary(text)
-    return own.encode(text, add_special_tokens=False).ids
+        return ranked(name).encode_ordinary(text)
+    return tokenizer(name).encode(text, add_special_tokens=False).ids
 
 
 def pieces(docs: DataFrame, size: int, keys: Sequence[str] = ("doc_id",), name: str = "byte_bpe_50k", end: int = 2, text: str = "text") -> DataFrame:

@@ -85,7 +85,7 @@ class Merges:
         key = a.astype(np.int64) * (1 << 32) + b
         distinct, inverse = np.unique(key, return_inverse=True)
         known = self.apart
-        if len(known) > 2_000_000:
+        if len(known) > 500_000:
             known.clear()
         out = np.empty(len(distinct), bool)
         for i, k in enumerate(distinct.tolist()):

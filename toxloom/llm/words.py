@@ -5,6 +5,7 @@ A word is a run of `[^\\x20\\x09-\\x0D]`; A-Z are lower-cased. Words carry 64-bi
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any, NamedTuple
@@ -97,6 +98,13 @@ def grams(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return at[keep], mix(h[keep])
 
 
+def trim() -> None:
+    """Give freed memory back to the system: workers live on after a task, and executors have little to spare."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that the text of each part stays within the limit."""
     for batch in batches:
@@ -107,6 +115,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
         cuts = np.flatnonzero(np.diff(bins)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
             yield batch.slice(lo, hi - lo)
+    trim()
 
 
 def raw(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
