@@ -158,6 +158,8 @@ class Mix:
         # Spans and slots meet by index, without texts; a document then has at most three times its blocks.
         drawn = self.spans().join(self.slots, ["source_no", "block"]).groupBy("uid").agg(F.collect_list(F.struct("shard", "k", "lo", "hi")).alias("spans"))
 
+        columns = self.columns
+
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in slices(batches):
                 texts = raw(part)
@@ -169,10 +171,10 @@ class Mix:
                         a, b = w.first[i] + s["lo"], w.first[i] + s["hi"] - 1
                         row.append(i), shard.append(s["shard"]), slot.append(s["k"]), first.append(s["lo"])
                         own.append(t[w.start[a] - begin[i]:w.end[b] - begin[i]].decode())
-                columns = [pa.array(x, pa.int64()) for x in (shard, slot, first)]
+                numbers = [pa.array(x, pa.int64()) for x in (shard, slot, first)]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, *(part.column(c).take(pa.array(row, pa.int64())) for c in self.columns), pa.array(own, pa.string())],
-                    names=["shard", "slot", "lo", *self.columns, "part"],
+                    [*numbers, *(part.column(c).take(pa.array(row, pa.int64())) for c in columns), pa.array(own, pa.string())],
+                    names=["shard", "slot", "lo", *columns, "part"],
                 )
 
         held = self.sized.select("uid", *self._columns(), F.col("text").alias("_text")).join(drawn, "uid").drop("uid").withColumnRenamed("_text", "text")
