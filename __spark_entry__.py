@@ -532,9 +532,9 @@ def url_frontier(spark, sf_dir):
     return P.frontier(table(spark, sf_dir, "pages"), "https://wiki.example/aops", "aops", 100, "page_id")
 
 
-@register("SELECT kind, page_id AS id, first_html AS html FROM (SELECT 'k' || page_id % 4 AS kind, page_id, html || '2' AS first_html FROM pages)")
+@register("SELECT 'k' || page_id % 4 AS kind, page_id AS id, html || '2' || CASE WHEN page_id % 3 = 0 THEN 'x' ELSE '' END AS html FROM pages")
 def page_store(spark, sf_dir):
-    """Two fetches of every page are written; the store keeps the later one."""
+    """Two fetches of every page are written, then some pages again: the store keeps the last of each, and all others."""
     pages = table(spark, sf_dir, "pages")
     fetches = pages.select(
         F.concat(F.lit("k"), (F.col("page_id") % 4).cast("string")).alias("kind"), F.col("page_id").alias("id"),
@@ -542,7 +542,27 @@ def page_store(spark, sf_dir):
     ).withColumn("html", F.concat("html", text("fetch")))
     path = work_folder(spark, "page-store")
     K.write_pages(fetches, path, ["fetch"])
-    return spark.read.parquet(path).select("kind", "id", "html")
+    K.write_pages(fetches.where("id % 3 = 0").withColumn("html", F.concat("html", F.lit("x"))), path, ["fetch"])
+    return P.read_pages(spark, path).select("kind", "id", "html")
+
+
+@register("""
+    WITH a AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders WHERE o_orderkey % 2 = 1),
+    b AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders WHERE o_orderkey % 2 = 0)
+    SELECT o_orderkey AS \"row\", n AS id FROM a UNION ALL SELECT o_orderkey, n + (SELECT count(*) FROM a) FROM b""")
+def two_loads(spark, sf_dir):
+    """Two loads into one node table, the second run twice: ids go on, and nothing is lost or repeated."""
+    path = work_folder(spark, "loads")
+    orders = table(spark, sf_dir, "orders")
+    for rest in (1, 0, 0):
+        stored = K.stored_or_none(spark, path)
+        load = orders.where(F.col("o_orderkey") % 2 == rest).select(F.col("o_orderkey").alias("row"))
+        start = 0
+        if stored is not None:
+            load = load.join(stored.select("row"), "row", "left_anti")
+            start = stored.agg(F.max("id")).first()[0]
+        K.append_nodes(O.assign_ids(load, ["row"], start=start), path, "row")
+    return spark.read.parquet(path)
 
 
 # Order, ranges, chunks ===========================================================================================

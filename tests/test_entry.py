@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 
@@ -10,11 +11,13 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are
 def test_every_query_has_sql_and_entry_runs(spark):
     import __spark_entry__ as entry
 
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    # Models, permutations and packing are beyond SQL: those queries have brute-force tests.
+    plain = {n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n)}
+    assert plain <= set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["unnest_edges", "upsert_last_wins", "merge_props", "explode_zip_longest", "substring_link"])
+@pytest.mark.parametrize("name", ["unnest_edges", "upsert_last_wins", "merge_props", "explode_zip_longest", "substring_link", "two_loads", "page_store", "append_nodes", "typed_cells", "incremental_load", "wiki_aop_lists", "url_frontier"])
 def test_query_equals_sql(spark, name):
     import __spark_entry__ as entry
 

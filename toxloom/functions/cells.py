@@ -83,10 +83,11 @@ def number(c: Column) -> Column:
 
 
 def int_id(c: Column) -> Column:
-    """Integer of a text that may be written as a float (`12.0`); exact for plain integers."""
+    """Integer of a text that may be written as a float (`12.0`); exact for plain integers, null beyond 64 bits."""
     text = c.cast("string")
-    whole = F.when(text.rlike(r"^\s*[+-]?[0-9]{1,19}\s*$"), text.try_cast("bigint"))
-    return F.coalesce(whole, number(text).try_cast("bigint"))
+    value = number(text)
+    other = F.when((value >= -(2.0**63)) & (value < 2.0**63), value.try_cast("bigint"))
+    return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.try_cast("bigint")).otherwise(other)
 
 
 def is_digits(c: Column) -> Column:

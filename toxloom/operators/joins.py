@@ -36,6 +36,8 @@ def lookup_join(
     the partition of a hot key by its map outputs. Where the session has that switched off, rows are salted over
     `SALTS` pieces by the `spread` columns (default: all) and the lookup side is copied to each piece.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"{how}: the lookup side may be copied, so its own rows can't be kept")
     on = [on] if isinstance(on, str) else list(on)
     if broadcastable(lookup) or splits_skew(rows.sparkSession):
         return rows.join(lookup, on, how)

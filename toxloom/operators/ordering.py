@@ -13,8 +13,8 @@ from toxloom.session import work_folder
 TOP_ROWS = 100_000  # a page that ends within this many rows is a plain top-k
 
 
-def assign_ids(df: DataFrame, order_by: Sequence[str], column: str = "id", partitions: int | None = None) -> DataFrame:
-    """Dense ids from 1 in the given total order.
+def assign_ids(df: DataFrame, order_by: Sequence[str], column: str = "id", partitions: int | None = None, start: int = 0) -> DataFrame:
+    """Dense ids from `start` + 1 in the given total order; a later load passes the highest stored id as `start`.
 
     The rows are written once, range-partitioned and sorted, one file per partition. A row's id is its place in its
     file plus the rows of the files before: no further shuffle, and a lost executor cannot move the borders. Ranges
@@ -33,7 +33,7 @@ def assign_ids(df: DataFrame, order_by: Sequence[str], column: str = "id", parti
     before = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select("_bucket", F.coalesce(before, F.lit(0)).alias("_start"))  # one row per partition
     return rows.join(F.broadcast(starts), "_bucket").select(
-        (F.col("_start") + F.col("_row") + 1).alias(column), *[named(c) for c in df.columns if c != column]
+        (F.col("_start") + F.col("_row") + 1 + start).alias(column), *[named(c) for c in df.columns if c != column]
     )
 
 

@@ -53,9 +53,16 @@ def load_bioactivity(rows: DataFrame, titles: DataFrame) -> tuple[DataFrame, Dat
     return good, rejects
 
 
-def with_ids(good: DataFrame) -> DataFrame:
-    """Raw table: dense `id` by file and row."""
-    return assign_ids(good, ["path", "row"]).select("id", *map(named, BIOACTIVITY_COLUMNS))
+def with_ids(good: DataFrame, stored: DataFrame | None = None, origin: bool = False) -> DataFrame:
+    """Raw table: dense `id` by file and row; with `origin`, `path` and `row` too, which tell a later load what is stored.
+
+    With `stored`, a raw table with its origin, rows that it has are left out, and ids go on after its highest.
+    """
+    if stored is None:
+        return assign_ids(good, ["path", "row"]).select("id", *(["path", "row"] if origin else []), *map(named, BIOACTIVITY_COLUMNS))
+    start = stored.agg(F.max("id")).first()[0] or 0
+    new = good.join(stored.select("path", "row"), ["path", "row"], "left_anti")
+    return assign_ids(new, ["path", "row"], start=start).select("id", "path", "row", *map(named, BIOACTIVITY_COLUMNS))
 
 
 def bioactivity_nodes(raw: DataFrame, inactive_only: bool = False) -> DataFrame:

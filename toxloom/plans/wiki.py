@@ -41,18 +41,31 @@ def aop_nodes(rows: DataFrame, base: DataFrame | None = None, lists: bool = Fals
     """AOP nodes. Rows unnested from list cells share an id, so the last item is what a plain upsert leaves in `mie`
     and `ao`; with `lists` all items of both stay, in order, as arrays."""
     keyed = _keyed(rows, AOP_PROPS)
-    nodes = upsert_nodes(base, keyed, "id", list(AOP_PROPS), ["seq"])
+    plain = base
+    if base is not None and dict(base.dtypes).get("mie", "").startswith("array"):
+        plain = base.withColumns({n: F.lit(None).cast("string") for n in ("mie", "ao")})  # lists are merged below
+    nodes = upsert_nodes(plain, keyed, "id", list(AOP_PROPS), ["seq"])
     if not lists:
         return nodes
-    # At most one list cell per AOP row: the group is one page row's items.
-    items = has_keys(keyed, ["id"]).groupBy("id").agg(
-        F.array_sort(F.collect_list(F.struct("seq", "mie", "ao"))).alias("_items")
-    ).select(
-        "id",
-        F.array_compact(F.transform("_items", lambda x: x["mie"])).alias("mie"),
-        F.array_compact(F.transform("_items", lambda x: x["ao"])).alias("ao"),
+    # Unnested rows of a page row repeat its plain cells: an item counts once, at its first place. Repeats of a load fold
+    # in the task that reads them, so a group holds distinct items only.
+    def items(name: str) -> DataFrame:
+        once = has_keys(keyed, ["id", name]).groupBy("id", name).agg(F.min("seq").alias("seq"))
+        return once.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("seq", name))).alias("_items")).select(
+            "id", F.transform("_items", lambda x: x[name]).alias(f"_{name}")
+        )
+
+    out = nodes.join(items("mie"), "id", "left").join(items("ao"), "id", "left").join(
+        has_keys(keyed, ["id"]).select("id", F.lit(True).alias("_new")).distinct(), "id", "left"
     )
-    return nodes.drop("mie", "ao").join(items, "id", "left")
+    # Stored AOPs that the load doesn't name keep what they have.
+    kept = {n: F.when(F.col(n).isNotNull(), F.array(n)).otherwise(F.array().cast("array<string>")) for n in ("mie", "ao")}
+    if base is not None and dict(base.dtypes).get("mie", "").startswith("array"):
+        kept = {n: F.col(f"_base_{n}") for n in ("mie", "ao")}
+        out = out.join(base.select("id", *[F.col(n).alias(f"_base_{n}") for n in ("mie", "ao")]), "id", "left")
+    none = F.array().cast("array<string>")
+    lists_of = {n: F.when(F.col("_new"), F.coalesce(f"_{n}", none)).otherwise(F.coalesce(kept[n], none)) for n in ("mie", "ao")}
+    return out.select(*[lists_of[c].alias(c) if c in lists_of else named(c) for c in nodes.columns])
 
 
 def event_nodes(rows: DataFrame, base: DataFrame | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from toxloom.functions.cells import named
 from toxloom.schemas import ABSENT_MARK
+from toxloom.streaming.incremental import read_current
 
 # Elements without content, and elements whose text is not page text.
 VOID = frozenset(
@@ -23,7 +24,10 @@ UNREAD = frozenset("rp rt script style template".split())
 
 
 def read_pages(spark: SparkSession, folder: str, kind: str = "*") -> DataFrame:
-    """Pages stored as `<kind>/<id>/<id>.html`."""
+    """Pages stored as `<kind>/<id>/<id>.html`, or by `write_pages`: then its newest version."""
+    stored = read_current(spark, folder.rstrip("/"))
+    if stored is not None:
+        return (stored if kind == "*" else stored.where(F.col("kind") == kind)).select("kind", F.col("id").cast("bigint").alias("id"), "html")
     where = F.col("_metadata.file_path")
     pattern = r"([^/]+)/(\d+)/\2\.html$"
     return spark.read.text(f"{folder.rstrip('/')}/{kind}/*/*.html", wholetext=True).select(
@@ -49,7 +53,7 @@ def frontier(starts: DataFrame, base_url: str, kind: str, walk: int = 100, start
     ids = starts.select(named(start).alias("_s")).where(F.col("_s").isNotNull()).select(
         F.explode(F.sequence(F.col("_s"), F.col("_s") + (walk - 1))).alias("id")
     )
-    url = F.concat(F.lit(base_url.rstrip("/") + "/"), F.col("id").cast("string"))
+    url = item_url(base_url.rstrip("/") + "/", F.col("id").cast("string"))
     return ids.dropDuplicates(["id"]).select(F.lit(kind).alias("kind"), "id", url.alias("url"))
 
 

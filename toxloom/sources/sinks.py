@@ -9,10 +9,17 @@ from pyspark.sql import types as T
 
 from toxloom.functions.cells import named
 from toxloom.operators.graph import last_by
+from toxloom.streaming.incremental import rewrite
 
 
 def append_table(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
-    """Append by column name. A column the table does not have is an error, one the frame lacks is null."""
+    """Append by column name. A column the table does not have is an error, one the frame lacks is null.
+
+    Without `schema`, that of the stored table holds, if there is one.
+    """
+    if schema is None:
+        stored = stored_or_none(df.sparkSession, path)
+        schema = stored.schema if stored is not None else None
     if schema is not None:
         unknown = [c for c in df.columns if c not in schema.fieldNames()]
         if unknown:
@@ -22,12 +29,17 @@ def append_table(df: DataFrame, path: str, schema: T.StructType | None = None) -
     df.write.mode("append").parquet(path)
 
 
-def append_nodes(df: DataFrame, path: str, key: str | Sequence[str] | None = None) -> None:
-    """Bulk create. With `key`, nodes already stored are skipped, so a second run adds none."""
+def append_nodes(df: DataFrame, path: str, key: str | Sequence[str] | None = None, order_by: Sequence[str] = ()) -> None:
+    """Bulk create. With `key`, nodes already stored are skipped, so a second run adds none.
+
+    The key must identify a node over all loads, such as (path, row) or a content id; a number given out by one run does not.
+    Of rows that repeat a key the last in `order_by` is stored; ties go by the rows' content, so a rerun picks the same.
+    """
     if key is not None:
         keys = [key] if isinstance(key, str) else list(key)
         stored = stored_or_none(df.sparkSession, path)
-        df = df.dropDuplicates(keys)
+        columns = df.columns
+        df = last_by(df, keys, order_by).select(*map(named, columns))
         if stored is not None:
             df = df.join(stored.select(*map(named, keys)), keys, "left_anti")
     df.write.mode("append").parquet(path)
@@ -49,6 +61,16 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     ).csv(path)
 
 
-def write_pages(df: DataFrame, path: str, order_by: Sequence[str], mode: str = "overwrite") -> None:
-    """Page store, one row per (kind, id): the last fetch wins."""
-    last_by(df, ["kind", "id"], order_by).write.mode(mode).partitionBy("kind").parquet(path)
+def write_pages(df: DataFrame, path: str, order_by: Sequence[str]) -> None:
+    """Page store, one row per (kind, id): the last fetch wins, and a later call wins over stored pages. Other pages stay.
+
+    The merged store is the next version of the table at `path`; `read_current` of the incremental module reads it.
+    """
+    fetched = last_by(df, ["kind", "id"], order_by)
+
+    def merged(stored: DataFrame | None) -> DataFrame:
+        if stored is None:
+            return fetched
+        return stored.join(fetched.select("kind", "id"), ["kind", "id"], "left_anti").unionByName(fetched, allowMissingColumns=True)
+
+    rewrite(df.sparkSession, path, merged)

@@ -55,13 +55,16 @@ def _rich_text(item: ElementTree.Element) -> str:
     return "".join(t.text or "" for t in runs)
 
 
+WHOLE = re.compile(r"[+-]?[0-9]+")
+
+
 def _number(text: str, date: bool) -> str:
-    if not date and text.isdigit():
-        return text
+    if not date and WHOLE.fullmatch(text):
+        return str(int(text))  # exact, however many digits
     value = float(text)
     if date:
         return str(datetime(1899, 12, 30) + timedelta(milliseconds=round(value * 86_400_000)))
-    return str(int(value)) if value.is_integer() and abs(value) < 1e15 else repr(value)
+    return str(int(value)) if value.is_integer() else repr(value)
 
 
 def _cell(cell: ElementTree.Element, texts: list[str], dates: set[int]) -> str | None:
@@ -70,7 +73,7 @@ def _cell(cell: ElementTree.Element, texts: list[str], dates: set[int]) -> str |
         inline = cell.find(f"{SHEET}is")
         return None if inline is None else _rich_text(inline)
     value = cell.find(f"{SHEET}v")
-    if value is None or value.text is None:
+    if value is None or value.text is None or kind == "e":  # an error is a missing value
         return None
     if kind == "s":
         return texts[int(value.text)]

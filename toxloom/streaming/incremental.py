@@ -28,6 +28,8 @@ def incremental_load(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
+    _refuse_lost_checkpoint(spark, checkpoint, target)
+
     def land(batch: DataFrame, number: int) -> None:
         transform(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
@@ -39,8 +41,9 @@ def incremental_load(
 
 
 def read_changes(spark: SparkSession, target: str) -> DataFrame:
-    """All landed rows, with the number of their batch."""
-    return spark.read.parquet(target)
+    """Rows of all finished batches, with the number of their batch. There must be one."""
+    done = _complete(spark, target, "batch=")
+    return spark.read.option("basePath", target).parquet(*[f"{target}/batch={n}" for n in done])
 
 
 def current_rows(spark: SparkSession, target: str, key: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -50,16 +53,27 @@ def current_rows(spark: SparkSession, target: str, key: str | Sequence[str], ord
 
 # Stored tables ---------------------------------------------------------------------------------------------------
 
+def _refuse_lost_checkpoint(spark: SparkSession, checkpoint: str, target: str) -> None:
+    """Batch numbers start anew with a fresh checkpoint: new rows would land below stored ones and lose against them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(checkpoint)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where) and _complete(spark, target, "batch="):
+        raise ValueError(f"{target} has batches, but the checkpoint {checkpoint} is gone: load into a new target")
+
+
 def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Numbers of the complete versions below `root`."""
+    return _complete(spark, root, "v=")
+
+
+def _complete(spark: SparkSession, root: str, prefix: str) -> list[int]:
+    """Numbers of the complete folders below `root`."""
     jvm = spark._jvm
     folder = jvm.org.apache.hadoop.fs.Path(root)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(folder):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    numbers = [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
-    return sorted(n for n in numbers if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/v={n}/_SUCCESS")))
+    numbers = [int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit()]
+    return sorted(n for n in numbers if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/{prefix}{n}/_SUCCESS")))
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
