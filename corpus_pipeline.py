@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from toxloom.llm import exact_dedup, jaccard_join, language_id, mixing, packing
@@ -23,8 +23,9 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return found.where("lang_pred <> 'und'").select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 
-#: Joins of whole documents go by id and text, as ids may be null or repeat.
-ID = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
+def row_id() -> Column:
+    """Joins of whole documents go by id and text, as ids may be null or repeat. Made on call: a column needs a session."""
+    return F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,17 +33,17 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The groups travel as hashes. Texts move once, to meet the rows that stay; of rows that repeat id and text one is taken.
     """
-    stay = exact_dedup.exact_groups(docs).where("kept").select(ID.alias("_id"), F.col("text_sha256").alias("_sha"))
+    stay = exact_dedup.exact_groups(docs).where("kept").select(row_id().alias("_id"), F.col("text_sha256").alias("_sha"))
     lower = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    keyed = docs.select(*COLUMNS, ID.alias("_id"), F.sha2(lower.cast("binary"), 256).alias("_sha"))
+    keyed = docs.select(*COLUMNS, row_id().alias("_id"), F.sha2(lower.cast("binary"), 256).alias("_sha"))
     once = F.row_number().over(Window.partitionBy("_id", "_sha").orderBy("source", "lang", "text"))
     return keyed.join(stay, ["_id", "_sha"]).withColumn("_n", once).where("_n = 1").select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of a similarity of 0.8 or more connect, the one with the smallest id stays."""
-    go = jaccard_join.jaccard_groups(docs).where("not kept").select(ID.alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    return docs.select(*COLUMNS, ID.alias("_id"), F.xxhash64("text").alias("_hash")).join(go, ["_id", "_hash"], "left_anti").select(*COLUMNS)
+    go = jaccard_join.jaccard_groups(docs).where("not kept").select(row_id().alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.select(*COLUMNS, row_id().alias("_id"), F.xxhash64("text").alias("_hash")).join(go, ["_id", "_hash"], "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

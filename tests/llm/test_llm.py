@@ -459,3 +459,12 @@ def test_pipeline(spark):
     got = corpus_pipeline.run(spark, SF).toPandas()
     check_sequences(got, 1024)
     assert set(got["doc_id"]) <= set(docs)
+
+
+def test_the_pipeline_imports_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[2]
+    subprocess.run([sys.executable, "-c", "import corpus_pipeline, toxloom.llm.queries"], cwd=root, check=True)
