@@ -11,6 +11,7 @@ import zipfile
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,8 @@ from toxloom.operators.substring import substring_link as link_texts
 from toxloom.plans import assays as assay_plan
 from toxloom.plans import bioactivity as bio_plan
 from toxloom.plans import wiki as wiki_plan
-from toxloom.schemas import BIOACTIVITY_COLUMNS, MISSING_NUMBER, NUMBER_COLUMNS, SHEET_COLUMNS, SPACES
-from toxloom.session import staged, work_folder
+from toxloom.schemas import AOP_PROPS, BIOACTIVITY_COLUMNS, CHEMICAL_PROPS, MISSING_NUMBER, NUMBER_COLUMNS, SHEET_COLUMNS, SPACES
+from toxloom.session import work_folder
 from toxloom.sources import pages as P
 from toxloom.sources import sinks as K
 from toxloom.sources import text as S
@@ -162,6 +163,18 @@ def substring_link_texts(spark, sf_dir):
     return link_texts(docs, "doc_id", "text", docs.withColumnRenamed("doc_id", "other_id"), "other_id", "text")
 
 
+@register("""
+    SELECT d.doc_id, o.page_id FROM documents d JOIN pages o ON contains(d.text, o.html) OR contains(o.html, d.text)
+    UNION ALL SELECT c_custkey, p_partkey FROM customer JOIN part ON contains(c_mktsegment || ' ' || c_name, p_partkey::VARCHAR)""")
+def substring_link_shuffled(spark, sf_dir):
+    """As between two large sides whose anchors are too many to be broadcast."""
+    docs = link_texts(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "pages"), "page_id", "html", small_anchors=0)
+    names = table(spark, sf_dir, "customer").select("c_custkey", F.concat_ws(" ", "c_mktsegment", "c_name").alias("name"))
+    keys = table(spark, sf_dir, "part").select("p_partkey", text("p_partkey").alias("key"))
+    cells = link_texts(names, "c_custkey", "name", keys, "p_partkey", "key", small_anchors=0)
+    return docs.union(cells)
+
+
 # Keyed joins and audits ==========================================================================================
 
 @register("SELECT doc_id FROM documents WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = documents.doc_id)")
@@ -296,24 +309,18 @@ def merge_props(spark, sf_dir):
 
 
 @register("""
-    WITH old AS (SELECT user_id, max(event_id) AS c FROM events WHERE event_type = 'click' GROUP BY 1),
-    new AS (SELECT user_id, max(event_id) AS w FROM events WHERE event_type = 'view' GROUP BY 1),
-    j AS (SELECT coalesce(old.user_id, new.user_id) AS user_id, c, w FROM old FULL JOIN new ON old.user_id = new.user_id)
-    SELECT user_id, 'click' AS prop, c::VARCHAR AS value FROM j WHERE c IS NOT NULL
-    UNION ALL SELECT user_id, 'view', w::VARCHAR FROM j WHERE w IS NOT NULL
-    UNION ALL SELECT user_id, 'last', CASE WHEN w IS NULL THEN c WHEN w % 2 = 0 THEN w END::VARCHAR FROM j
-      WHERE CASE WHEN w IS NULL THEN c WHEN w % 2 = 0 THEN w END IS NOT NULL""")
+    WITH old AS (SELECT user_id, event_type AS prop, max(event_id) AS v FROM events WHERE event_id % 2 = 0 GROUP BY ALL),
+    new AS (SELECT user_id, event_type AS prop, max(event_id) AS e, arg_max(value, event_id) AS x FROM events WHERE event_id % 2 = 1 GROUP BY ALL)
+    SELECT coalesce(old.user_id, new.user_id) AS user_id, coalesce(old.prop, new.prop) AS prop, coalesce(e, v)::VARCHAR AS value
+    FROM old FULL JOIN new ON old.user_id = new.user_id AND old.prop = new.prop WHERE e IS NULL OR x > 10""")
 def merge_props_stored(spark, sf_dir):
-    """A stored map meets a new one: absent keys survive, null removes."""
+    """A stored map of every event type meets new ones: absent keys survive, null removes."""
     e = table(spark, sf_dir, "events")
-
-    def last(kind: str) -> DataFrame:
-        return e.where(F.col("event_type") == kind).groupBy("user_id").agg(F.max("event_id").alias("e"))
-
-    even = F.when(F.col("e") % 2 == 0, text("e"))
-    base = last("click").select("user_id", F.create_map(F.lit("click"), text("e"), F.lit("last"), text("e")).alias("props"))
-    new = last("view").select("user_id", F.create_map(F.lit("view"), text("e"), F.lit("last"), even).alias("props"), "e")
-    return G.merge_props(base, new, "user_id", ["e"]).select("user_id", F.explode("props").alias("prop", "value"))
+    last = e.where("event_id % 2 = 0").groupBy("user_id", "event_type").agg(F.max("event_id").cast("string").alias("v"))
+    base = last.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "v"))).alias("props"))  # an entry per event type
+    value = F.when(F.col("value") > 10, text("event_id"))
+    new = e.where("event_id % 2 = 1").select("user_id", "event_id", F.create_map(F.col("event_type"), value).alias("props"))
+    return G.merge_props(base, new, "user_id", ["event_id"]).select("user_id", F.explode("props").alias("prop", "value"))
 
 
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax"]
@@ -532,6 +539,15 @@ def url_frontier(spark, sf_dir):
     return P.frontier(table(spark, sf_dir, "pages"), "https://wiki.example/aops", "aops", 100, "page_id")
 
 
+@register("""
+    SELECT 'aops' AS kind, unnest(range(lo, lo + (hi - lo) // 20 * 20 + 100)) AS id, 'https://wiki.example/aops/' || id AS url
+    FROM (SELECT min(page_id) AS lo, max(page_id) AS hi FROM pages)""")
+def url_walks(spark, sf_dir):
+    """Walks from every twentieth id of the stored range."""
+    lo, hi = table(spark, sf_dir, "pages").agg(F.min("page_id"), F.max("page_id")).first()
+    return P.url_frontier(spark, "https://wiki.example/aops", "aops", lo, hi)
+
+
 @register("SELECT 'k' || page_id % 4 AS kind, page_id AS id, html || '2' || CASE WHEN page_id % 3 = 0 THEN 'x' ELSE '' END AS html FROM pages")
 def page_store(spark, sf_dir):
     """Two fetches of every page are written, then some pages again: the store keeps the last of each, and all others."""
@@ -685,6 +701,12 @@ LINKS_XML = (
 )
 
 
+MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+SHARED = ["F", "O", "P"]  # texts that cells name by number
+SHARED_XML = f"<sst {MAIN}>" + "".join(f"<si><r><t>{s}</t></r></si>" for s in SHARED) + "</sst>"
+STYLES_XML = f'<styleSheet {MAIN}><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>'  # style 1 is a date
+
+
 @F.pandas_udf(T.BinaryType())
 def zip_workbook(sheets: pd.Series) -> pd.Series:
     def one(xml: str) -> bytes:
@@ -692,48 +714,142 @@ def zip_workbook(sheets: pd.Series) -> pd.Series:
         with zipfile.ZipFile(out, "w") as z:
             z.writestr("xl/workbook.xml", WORKBOOK_XML)
             z.writestr("xl/_rels/workbook.xml.rels", LINKS_XML)
+            z.writestr("xl/sharedStrings.xml", SHARED_XML)
+            z.writestr("xl/styles.xml", STYLES_XML)
             z.writestr("xl/worksheets/sheet1.xml", xml)
         return out.getvalue()
 
     return sheets.map(one)
 
 
-def order_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(path, content): assay exports of 64 neighbouring orders each; the order's customer is the chemical."""
-    heads = ["DTXSID", "PREFERRED NAME", "CASRN", "MOLECULAR FORMULA", "MONOISOTOPIC MASS", "HIT CALL", "AC50", "LOGAC50", "TOP", "SCALED TOP"]
+def txt(c: Column) -> Column:
+    return F.concat(F.lit('<c t="inlineStr"><is><t>'), c, F.lit("</t></is></c>"))
 
-    def txt(c: Column) -> Column:
-        return F.concat(F.lit('<c t="inlineStr"><is><t>'), c, F.lit("</t></is></c>"))
 
-    def num(c: str) -> Column:
-        return F.concat(F.lit("<c><v>"), text(c), F.lit("</v></c>"))
+def num(c: Column) -> Column:
+    return F.concat(F.lit("<c><v>"), c.cast("string"), F.lit("</v></c>"))
 
-    row = F.concat(
-        F.lit("<row>"), txt(F.concat(F.lit("D"), text("o_custkey"))), txt(F.col("o_orderpriority")), txt(F.lit("NA")),
-        F.lit("<c/>"), num("o_custkey"), txt(F.col("o_orderstatus")), num("o_orderkey"),
-        F.when(F.col("o_orderstatus") == "F", txt(F.lit("nan"))).otherwise(num("o_orderkey")), num("o_totalprice"),
-        F.lit("</row>"),
-    )
-    block = F.floor(F.col("o_orderkey") / 64).cast("bigint")
-    sheets = table(spark, sf_dir, "orders").groupBy(block.alias("block")).agg(  # 64 rows a group at most
-        F.array_sort(F.collect_list(F.struct("o_orderkey", row.alias("xml")))).alias("rows")
-    )
-    head = "<row>" + "".join(f'<c t="inlineStr"><is><t>{h}</t></is></c>' for h in heads) + "</row>"
+
+def workbooks(rows: DataFrame, block: Column, order: str, cells: dict[str, Column], names: list[str] | None = None) -> DataFrame:
+    """(block, content): a workbook for each block of neighbouring rows, which holds few rows. Other `names` stay empty."""
+    names = names or list(cells)
+    row = F.concat(F.lit("<row>"), *[F.coalesce(cells[n], F.lit("<c/>")) if n in cells else F.lit("<c/>") for n in names], F.lit("</row>"))
+    sheets = rows.groupBy(block.alias("block")).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("k"), row.alias("xml")))).alias("rows"))
+    head = "<row>" + "".join(f'<c t="inlineStr"><is><t>{h}</t></is></c>' for h in names) + "</row>"
     xml = F.concat(
-        F.lit('<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>' + head),
-        F.array_join(F.transform("rows", lambda r: r["xml"]), ""), F.lit("</sheetData></worksheet>"),
+        F.lit(f"<worksheet {MAIN}><sheetData>" + head), F.array_join(F.transform("rows", lambda r: r["xml"]), ""),
+        F.lit("</sheetData></worksheet>"),
     )
-    name = F.concat(F.lit("in/Assay List b-"), text("block"), F.lit("-2025-02-11.xlsx"))
-    return sheets.select(name.alias("path"), zip_workbook(xml).alias("content"))
+    return sheets.select("block", zip_workbook(xml).alias("content"))
 
 
 ASSAY_HEADS = ["DTXSID", "PREFERRED NAME", "CASRN", "MOLECULAR FORMULA", "MONOISOTOPIC MASS", "HIT CALL", "AC50", "LOGAC50", "TOP", "SCALED TOP"]
 
 
+def order_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, content): assay exports of 64 neighbouring orders each; the order's customer is the chemical."""
+    key = F.col("o_orderkey")
+    cells = {
+        "DTXSID": txt(F.concat(F.lit("D"), text("o_custkey"))), "PREFERRED NAME": txt(F.col("o_orderpriority")), "CASRN": txt(F.lit("NA")),
+        "MONOISOTOPIC MASS": num(F.col("o_custkey")), "HIT CALL": txt(F.col("o_orderstatus")), "AC50": num(key),
+        "LOGAC50": F.when(F.col("o_orderstatus") == "F", txt(F.lit("nan"))).otherwise(num(key)), "TOP": num(F.col("o_totalprice")),
+    }
+    books = workbooks(table(spark, sf_dir, "orders"), F.floor(key / 64).cast("bigint"), "o_orderkey", cells, ASSAY_HEADS)
+    return books.select(F.concat(F.lit("in/Assay List b-"), text("block"), F.lit("-2025-02-11.xlsx")).alias("path"), "content")
+
+
 def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decoded once, then read by every output."""
-    books = order_workbooks(spark, sf_dir)
-    return staged(W.decode_workbooks(books, ASSAY_HEADS, partitions=spark.sparkContext.defaultParallelism), "sheets")
+    return W.decode_workbooks(order_workbooks(spark, sf_dir), ASSAY_HEADS, partitions=spark.sparkContext.defaultParallelism)
+
+
+def put_files(files: DataFrame, folder: str) -> None:
+    """Write (path, content) rows as files below a shared folder. A task that runs again writes the same files anew."""
+    def put(batches):
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                store, where = pafs.FileSystem.from_uri(f"{folder if '://' in folder or folder.startswith('file:') else 'file://' + folder}/{path}")
+                store.create_dir(where.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(where) as out:
+                    out.write(bytes(content))
+            yield batch[["path"]]
+
+    files.select("path", "content").mapInPandas(put, "path string").agg(F.count("*")).collect()
+
+
+SCAN_HEADS = ["KEY", "STATUS", "DAY", "PRICE", "FAULT"]
+SCAN_SQL = """SELECT o_orderkey // 256 AS block, o_orderkey::VARCHAR AS "KEY", CASE WHEN o_orderstatus IN ('F', 'O', 'P') THEN o_orderstatus END AS "STATUS",
+    strftime(o_orderdate, '%Y-%m-%d 00:00:00') AS "DAY", o_totalprice AS "PRICE", NULL::VARCHAR AS "FAULT" FROM orders"""
+
+
+def stored_workbooks(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of workbooks with shared texts, dates and error cells: a third lies flat, the rest nested; some end in `.zip`."""
+    shared = F.coalesce(*[F.when(F.col("o_orderstatus") == s, F.lit(f'<c t="s"><v>{i}</v></c>')) for i, s in enumerate(SHARED)])
+    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1899-12-30").cast("date")).cast("string")
+    cells = {
+        "KEY": num(F.col("o_orderkey")), "STATUS": shared, "DAY": F.concat(F.lit('<c s="1"><v>'), day, F.lit("</v></c>")),
+        "PRICE": num(F.col("o_totalprice")), "FAULT": F.lit('<c t="e"><v>#DIV/0!</v></c>'),
+    }
+    books = workbooks(table(spark, sf_dir, "orders"), F.floor(F.col("o_orderkey") / 256).cast("bigint"), "o_orderkey", cells)
+    nested = F.when(F.col("block") % 3 == 0, "").when(F.col("block") % 3 == 1, "sub/").otherwise("sub/deeper/")
+    path = F.concat(nested, F.lit("b"), text("block"), F.when(F.col("block") % 5 == 4, ".zip").otherwise(".xlsx"))
+    folder = work_folder(spark, "workbooks")
+    put_files(books.select(path.alias("path"), "content"), folder)
+    return folder
+
+
+def scanned(rows: DataFrame) -> DataFrame:
+    block = F.regexp_extract("file", "b([0-9]+)", 1).cast("bigint").alias("block")
+    return rows.select(block, *SCAN_HEADS[:3], C.number(F.col("PRICE")).alias("PRICE"), "FAULT")
+
+
+@register(SCAN_SQL)
+def workbook_scan(spark, sf_dir):
+    """Workbook files of a folder and all below it, the columns learned from their headers."""
+    return scanned(W.read_workbooks(spark, stored_workbooks(spark, sf_dir)))
+
+
+@register(f"SELECT * FROM ({SCAN_SQL}) WHERE block % 3 = 0 AND block % 5 <> 4")
+def workbook_scan_flat(spark, sf_dir):
+    """Only the `.xlsx` files of the folder itself."""
+    return scanned(W.read_workbooks(spark, stored_workbooks(spark, sf_dir), SCAN_HEADS, recursive=False, glob="*.xlsx"))
+
+
+CHEMICAL_CELLS = ["DTXSID", *CHEMICAL_PROPS.values()]
+CHEMICAL_SQL = """SELECT c_custkey // 256 AS block, 'D' || c_custkey // 2 AS d, c_name AS n, c_nationkey || '-00-1' AS cas, 'K' || c_custkey AS inchikey,
+    'i ' || c_name AS iupac, CASE WHEN c_nationkey % 2 = 0 THEN 'C=O' END AS smiles, 'InChI=1S/' || c_custkey AS inchi, c_mktsegment AS f,
+    c_acctbal AS avg_mass, c_acctbal AS mass, c_nationkey AS q, c_custkey AS na, c_custkey + 7 AS nt, c_nationkey AS pct, c_custkey FROM customer"""
+
+
+def chemical_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as chemical exports of 256 each, with every property; two neighbours share an id."""
+    k, nation = F.col("c_custkey"), text("c_nationkey")
+    values = [
+        txt(F.concat(F.lit("D"), F.floor(k / 2).cast("string"))), txt(F.col("c_name")), txt(F.concat(nation, F.lit("-00-1"))),
+        txt(F.concat(F.lit("K"), text("c_custkey"))), txt(F.concat(F.lit("i "), "c_name")), F.when(F.col("c_nationkey") % 2 == 0, txt(F.lit("C=O"))),
+        txt(F.concat(F.lit("InChI=1S/"), text("c_custkey"))), txt(F.col("c_mktsegment")), num(F.col("c_acctbal")), txt(text("c_acctbal")),
+        num(nation), num(k), txt(F.concat((k + 7).cast("string"), F.lit(".0"))), num(nation),
+    ]
+    books = workbooks(table(spark, sf_dir, "customer"), F.floor(k / 256).cast("bigint"), "c_custkey", dict(zip(CHEMICAL_CELLS, values)))
+    path = F.concat(F.lit("in/Chemical List c-"), F.lpad(text("block"), 9, "0"), F.lit("-2025-02-11.xlsx"))
+    return W.decode_workbooks(books.select(path.alias("path"), "content"), CHEMICAL_CELLS, partitions=spark.sparkContext.defaultParallelism)
+
+
+@register(f"""SELECT d AS dtxsid, n AS name, cas AS casrn, inchikey, iupac, smiles, inchi, f AS formula, avg_mass, mass, q::VARCHAR AS qc_level,
+    na AS n_active, nt AS n_total, pct::DOUBLE AS pct_active FROM ({CHEMICAL_SQL}) QUALIFY row_number() OVER (PARTITION BY d ORDER BY c_custkey DESC) = 1""")
+def chemical_export(spark, sf_dir):
+    """Chemical nodes with all thirteen properties, typed."""
+    return assay_plan.chemical_nodes(chemical_rows(spark, sf_dir))
+
+
+@register(f"""SELECT 'c-' || lpad(block::VARCHAR, 9, '0') AS list, d AS dtxsid, n AS name, cas, inchikey AS "INCHIKEY", smiles AS "SMILES", avg_mass, nt::VARCHAR || '.0' AS total
+    FROM ({CHEMICAL_SQL})""")
+def chemical_list(spark, sf_dir):
+    """Raw table of the same exports, all rows."""
+    raw = assay_plan.raw_chemicals(chemical_rows(spark, sf_dir))
+    return raw.select(
+        F.col("CHEMICAL NAME").alias("list"), F.col("DTXSID").alias("dtxsid"), F.col("PREFERRED NAME").alias("name"), F.col("CASRN").alias("cas"),
+        "INCHIKEY", "SMILES", C.number(F.col("AVERAGE MASS")).alias("avg_mass"), F.col("Total Assays").alias("total"),
+    )
 
 
 @register("""
@@ -881,6 +997,71 @@ def bioactivity_edges(spark, sf_dir):
     ])
 
 
+def summary_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded summary exports of 256 orders each. Besides those, every seventh block has a file without rows, and every
+    eleventh one a file that isn't a workbook."""
+    key = F.col("o_orderkey")
+    cells = {
+        "NAME": txt(F.col("o_orderpriority")), "HIT_CALL": txt(F.col("o_orderstatus")), "AOP": txt(F.concat_ws("|", text("o_custkey"), F.lit("x"), text("o_custkey"))),
+        "EVENT": txt(F.concat_ws(" ", F.floor(key / 100).cast("string"), text("o_custkey"))), "AC50": F.when(key % 3 == 0, txt(F.lit(MISSING_NUMBER))).otherwise(num(key)),
+    }
+    orders, block = table(spark, sf_dir, "orders"), F.floor(key / 256).cast("bigint")
+    name = lambda mark: F.concat(F.lit("in/"), F.lit(mark), text("block"), F.lit(" Toxcast Summary -2025-02-11.xlsx")).alias("path")
+    full = workbooks(orders, block, "o_orderkey", cells, SHEET_COLUMNS).select(name("a_"), "content")
+    # An aggregate over no rows but the blocks' keys: headers alone, one column short.
+    blocks = orders.select(block.alias("block")).distinct()
+    bare = blocks.where("block % 7 = 0").select(name("b_"), zip_workbook(F.concat(
+        F.lit(f"<worksheet {MAIN}><sheetData><row>" + "".join(f'<c t="inlineStr"><is><t>{h}</t></is></c>' for h in SHEET_COLUMNS if h != "BMD") + "</row></sheetData></worksheet>"),
+    )).alias("content"))
+    broken = blocks.where("block % 11 = 0").select(name("c_"), F.encode(F.lit("no workbook"), "utf-8").alias("content"))
+    files = full.unionByName(bare).unionByName(broken)
+    return W.decode_workbooks(files, SHEET_COLUMNS, partitions=spark.sparkContext.defaultParallelism)
+
+
+def summary_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles of all files but those of every fifth block."""
+    blocks = table(spark, sf_dir, "orders").select(F.floor(F.col("o_orderkey") / 256).cast("bigint").alias("block")).distinct().where("block % 5 <> 1")
+    pairs = blocks.select(F.explode(F.array(*[F.concat(F.lit(m), text("block")) for m in ("a_", "b_", "c_")])).alias("title"),
+                          F.concat(F.lit("D"), text("block")).alias("dtxsid"), F.col("block").alias("seq"))
+    return J.title_map(pairs)
+
+
+@register("""
+    WITH b AS (SELECT DISTINCT o_orderkey // 256 AS block FROM orders),
+    f AS (SELECT 'a_' AS m, block FROM b WHERE block % 5 = 1 UNION ALL SELECT 'b_', block FROM b WHERE block % 7 = 0 UNION ALL SELECT 'c_', block FROM b WHERE block % 11 = 0)
+    SELECT 'in/' || m || block || ' Toxcast Summary -2025-02-11.xlsx' AS path, CASE WHEN m = 'c_' THEN 'BadZipFile: File is not a zip file'
+      WHEN block % 5 = 1 THEN 'no id for title' ELSE 'missing column BMD' END AS reason FROM f""")
+def bioactivity_file_rejects(spark, sf_dir):
+    """Rejects of workbook files, those without rows and those that can't be read among them."""
+    _, rejects = bio_plan.load_bioactivity(summary_workbooks(spark, sf_dir), summary_titles(spark, sf_dir))
+    return rejects.select("path", "reason")
+
+
+SUMMARY_SQL = """SELECT *, row_number() OVER (ORDER BY 'in/a_' || o_orderkey // 256 || ' Toxcast Summary -2025-02-11.xlsx', o_orderkey) AS id,
+    o_orderkey // 256 AS block FROM orders WHERE (o_orderkey // 256) % 5 <> 1"""
+
+
+@register(f"""
+    WITH n AS ({SUMMARY_SQL})
+    SELECT 'Bioactivity' AS type, id, 'D' || block AS dst, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey::DOUBLE END AS ac50 FROM n
+    UNION ALL SELECT 'RELATED_TO_AOP', id, o_custkey::VARCHAR, NULL FROM n JOIN part ON p_partkey = o_custkey
+    UNION ALL SELECT DISTINCT 'RELATED_TO_EVENT', id, dst::VARCHAR, NULL FROM (SELECT id, unnest([o_orderkey // 100, o_custkey]) AS dst FROM n) JOIN supplier ON s_suppkey = dst
+    UNION ALL SELECT 'OF_CHEMICAL', id, 'D' || block, NULL FROM n JOIN customer ON c_custkey = block""")
+def bioactivity_graph(spark, sf_dir):
+    """From workbook to edge: decode, load, dense ids, nodes and all bridge edges."""
+    good, _ = bio_plan.load_bioactivity(summary_workbooks(spark, sf_dir), summary_titles(spark, sf_dir))
+    raw = bio_plan.with_ids(good)
+    nodes = bio_plan.bioactivity_nodes(raw)
+    edges = bio_plan.bioactivity_edges(
+        nodes, events=table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id")), aops=table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id")),
+        chemicals=table(spark, sf_dir, "customer").select(F.concat(F.lit("D"), text("c_custkey")).alias("dtxsid")),
+    )
+    ac50 = F.element_at("props", "AC50").cast("double")
+    parts = [nodes.select(F.lit("Bioactivity").alias("type"), "id", F.col("dtxsid").alias("dst"), ac50.alias("ac50"))]
+    parts += [e.select(F.lit(kind).alias("type"), "id", F.col(e.columns[-1]).cast("string").alias("dst"), F.lit(None).cast("double").alias("ac50")) for kind, e in edges.items()]
+    return S.union_files(parts)
+
+
 # Wiki graph ======================================================================================================
 
 def wiki_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -970,8 +1151,6 @@ def wiki_relation_ids(spark, sf_dir):
       p_size::VARCHAR AS mie, NULL::VARCHAR AS ao, NULL::VARCHAR AS status, NULL::VARCHAR AS project FROM part""")
 def wiki_aop_nodes(spark, sf_dir):
     """From page to node: the last list item is what stays; the shorter list ends in an empty, hence null, text."""
-    from toxloom.schemas import AOP_PROPS
-
     rows = wiki_plan.main_page_table(part_table_rows(spark, sf_dir), ["p_partkey"], ["ID", *AOP_PROPS.values()])
     return wiki_plan.aop_nodes(rows)
 
@@ -987,6 +1166,58 @@ def wiki_aop_lists(spark, sf_dir):
     return nodes.select("id", F.array_join("mie", "|").alias("mie"), F.array_join("ao", "|").alias("ao"))
 
 
+GRAPH_KEYS = {"AOP": ("id", "title"), "Event": ("id", "title"), "KE_Relation": ("id", "upstream_event"), "Stressor": ("id", "aop_id"),
+              "HAS_EVENT": ("aop_id", "event_id"), "HAS_RELATIONSHIP": ("aop_id", "relation_id"), "CAUSES": ("src", "dst"),
+              "ASSOCIATED_WITH": ("stressor_id", "aop_id")}
+
+
+@register(f"""
+    SELECT 'AOP' AS type, item_id::VARCHAR AS a, text AS b FROM benchmark
+    UNION ALL SELECT 'Event', id::VARCHAR, title FROM ({ORACLES["wiki_event_nodes"]})
+    UNION ALL SELECT 'KE_Relation', id::VARCHAR, upstream_event FROM ({ORACLES["wiki_relation_nodes"]})
+    UNION ALL SELECT 'Stressor', id::VARCHAR, aop_id::VARCHAR FROM ({ORACLES["wiki_stressor_nodes"]})
+    UNION ALL SELECT 'HAS_EVENT', aop_id::VARCHAR, event_id::VARCHAR FROM ({ORACLES["wiki_has_event"]})
+    UNION ALL SELECT DISTINCT 'HAS_RELATIONSHIP', item_id::VARCHAR, o_custkey::VARCHAR FROM orders JOIN benchmark
+      ON contains(text, o_orderkey::VARCHAR) OR contains(o_orderkey::VARCHAR, text)
+    UNION ALL SELECT 'CAUSES', src, dst FROM ({ORACLES["wiki_causes"]})
+    UNION ALL SELECT 'ASSOCIATED_WITH', stressor_id::VARCHAR, aop_id::VARCHAR FROM ({ORACLES["wiki_associated_with"]})""")
+def wiki_graph(spark, sf_dir):
+    """All eight tables of the graph in one call."""
+    t = wiki_tables(spark, sf_dir)
+    graph = wiki_plan.wiki_graph(t["aops"], t["events"], t["relations"], t["stressors"])
+    return S.union_files([
+        df.select(F.lit(kind).alias("type"), *[text(c).alias(n) for c, n in zip(GRAPH_KEYS[kind], "ab")]) for kind, df in graph.items()
+    ])
+
+
+@register("""
+    SELECT DISTINCT n_nationkey AS aop_id, c_custkey AS relation_id FROM customer JOIN nation
+      ON contains('see NATION_' || c_nationkey || ' there', n_name)""")
+def wiki_has_relationship(spark, sf_dir):
+    """Relations linked over titles: nations as AOPs, customers as relations whose cell names one."""
+    none = F.lit(None).cast("string")
+    aops = table(spark, sf_dir, "nation").select(
+        text("n_nationkey").alias("ID"), F.col("n_name").alias("Title"), *[none.alias(c) for c in AOP_PROPS.values() if c != "Title"], F.col("n_nationkey").alias("seq"),
+    )
+    cell = F.concat(F.lit("see NATION_"), text("c_nationkey"), F.lit(" there"))
+    relations = table(spark, sf_dir, "customer").select(text("c_custkey").alias("ID"), cell.alias("AOPs"), F.col("c_custkey").alias("seq"))
+    return wiki_plan.title_links(relations, wiki_plan.aop_nodes(aops), "relation_id")
+
+
+@register("""
+    WITH e AS (SELECT o_orderkey AS rel, 'u' AS side, 'S' || o_custkey AS t FROM orders UNION ALL SELECT o_orderkey, 'd', 'S' || o_orderkey // 8 FROM orders),
+    k AS (SELECT 'rel:' || rel AS rel, side, coalesce('id:' || s_suppkey, 'title:' || t) AS ev FROM e LEFT JOIN supplier ON 'S' || s_suppkey = t)
+    SELECT CASE side WHEN 'u' THEN ev ELSE rel END AS src, CASE side WHEN 'u' THEN rel ELSE ev END AS dst FROM k""")
+def wiki_causes_matched(spark, sf_dir):
+    """Relations of which both ends can meet an event."""
+    relations = table(spark, sf_dir, "orders").select(
+        text("o_orderkey").alias("ID"), F.concat(F.lit("S"), text("o_custkey")).alias("Upstream Event"),
+        F.concat(F.lit("S"), F.floor(F.col("o_orderkey") / 8).cast("string")).alias("Downstream Event"),
+    )
+    events = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.concat(F.lit("S"), text("s_suppkey")).alias("title"))
+    return J.causes_edges(wiki_plan.relation_ends(relations), events)
+
+
 # Incremental =====================================================================================================
 
 @register("""
@@ -1003,6 +1234,18 @@ def incremental_load(spark, sf_dir):
     return I.current_rows(spark, f"{folder}/changes", "user_id", ["event_id"]).select("user_id", "event_id", "event_type")
 
 
+@register("""
+    SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id % 2 DESC, event_id DESC) = 1""")
+def incremental_arrivals(spark, sf_dir):
+    """Files that arrive between runs: a later run wins, whatever the ids."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    folder = work_folder(spark, "arrivals")
+    for rest in (0, 1):
+        events.where(F.col("event_id") % 2 == rest).write.mode("append").parquet(f"{folder}/in")
+        I.incremental_load(spark, f"{folder}/in", events.schema, f"{folder}/checkpoint", f"{folder}/changes")
+    return I.current_rows(spark, f"{folder}/changes", "user_id", ["event_id"]).select("user_id", "event_id", "event_type")
+
+
 @register("""
     WITH u AS (SELECT o_custkey, o_orderpriority FROM orders
       QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)

@@ -17,7 +17,8 @@ def test_every_query_has_sql_and_entry_runs(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["unnest_edges", "upsert_last_wins", "merge_props", "explode_zip_longest", "substring_link", "two_loads", "page_store", "append_nodes", "typed_cells", "incremental_load", "wiki_aop_lists", "url_frontier"])
+@pytest.mark.parametrize("name", ["unnest_edges", "upsert_last_wins", "merge_props", "explode_zip_longest", "substring_link", "two_loads", "page_store", "append_nodes", "typed_cells", "incremental_load", "wiki_aop_lists", "url_frontier",
+    "workbook_scan_flat", "chemical_export", "bioactivity_file_rejects", "incremental_arrivals", "merge_props_stored", "page_deep"])
 def test_query_equals_sql(spark, name):
     import __spark_entry__ as entry
 

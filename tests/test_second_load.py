@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from toxloom.functions import cells as C
 from toxloom.operators import joins as J
 from toxloom.operators import ordering as O
-from toxloom.plans import wiki
+from toxloom.plans import assays, wiki
 from toxloom.sources import pages as P
 from toxloom.sources import sinks as K
 from toxloom.sources import workbooks as W
@@ -86,3 +86,29 @@ def test_aop_lists_beside_plain_cells_and_stored_ones(spark):
     other = spark.createDataFrame([("2", "u", None, None, None, "b", None, None, 1)], schema)
     both = {r.id: (r.mie, r.ao) for r in wiki.aop_nodes(other, first, lists=True).collect()}
     assert both == {1: (["m"], ["a1", "a2"]), 2: ([], ["b"])}
+
+
+def test_a_workbook_without_rows_is_still_seen(spark, rows):
+    import io
+    import zipfile
+
+    import __spark_entry__ as entry
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/workbook.xml", entry.WORKBOOK_XML)
+        z.writestr("xl/_rels/workbook.xml.rels", entry.LINKS_XML)
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {entry.MAIN}><sheetData><row><c t="inlineStr"><is><t>A</t></is></c></row></sheetData></worksheet>')
+    files = spark.createDataFrame([("in/x.xlsx", out.getvalue())], "path string, content binary")
+    decoded = W.decode_workbooks(files, ["A", "B"])
+    assert rows(decoded.select("path", "row", "absent", "A")) == [("in/x.xlsx", None, ["B"], None)]
+    assert assays.raw_assays(decoded).count() == 0
+
+
+def test_few_rejected_paths_meet_their_rows(spark, rows, monkeypatch):
+    data = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "path string, row int")
+    few = spark.createDataFrame([("b", True)], "path string, bad boolean")
+    want = [("a", 1, None), ("b", 2, True), (None, 3, None)]
+    assert rows(J.join_few(data, few, "path")) == sorted(want, key=repr)
+    monkeypatch.setattr(J, "FEW_BYTES", 0)
+    assert rows(J.join_few(data, few, "path")) == sorted(want, key=repr)

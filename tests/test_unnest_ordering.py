@@ -54,3 +54,14 @@ def test_chunks(spark, rows):
     df = spark.range(1, 2502)
     assert O.scan_id_range(df, *O.id_chunk(1)).count() == 1000
     assert rows(O.chunk_counts(df)) == [(0, 1000), (1, 1000), (2, 501)]
+
+
+def test_deep_pages_with_ties_and_nulls(spark, rows):
+    data = [(None if i % 7 == 0 else i % 3, i // 2 if i % 5 else None, i) for i in range(6000)]
+    df = spark.createDataFrame(data, "a int, b int, i int")
+    want = sorted(data, key=lambda r: tuple((v is not None, v or 0) for v in r))
+    for skip, limit in ((0, 10), (2995, 20), (5990, 30), (7000, 5)):
+        got = O.page(df, ["a", "b", "i"], skip, limit, top_rows=0)
+        assert rows(got) == sorted(want[skip:skip + limit], key=repr)
+    same = spark.range(5000).selectExpr("1 as k")
+    assert O.page(same, ["k"], 4000, 100, top_rows=0).count() == 100

@@ -12,6 +12,7 @@ from toxloom.operators.graph import has_keys, last_by, merge_edges
 from toxloom.operators.unnest import unnest_ids
 
 SALTS = 32
+FEW_BYTES = 16 << 20  # a counted and measured side within this may be broadcast
 
 
 def broadcastable(df: DataFrame) -> bool:
@@ -47,6 +48,19 @@ def lookup_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def join_few(
+    rows: DataFrame, lookup: DataFrame, on: str, how: str = "left", spread: Sequence[str] | None = None
+) -> DataFrame:
+    """`lookup_join` to a side that is usually tiny, such as rejected paths, whatever Spark's estimate of it.
+
+    Its rows and text are measured first; within `FEW_BYTES` it is broadcast, so the many rows don't move.
+    """
+    n, chars = lookup.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(named(on).cast("string"))), F.lit(0))).first()
+    if 64 * n + chars <= FEW_BYTES:
+        return rows.join(F.broadcast(lookup), on, how)
+    return lookup_join(rows, lookup, on, how, spread)
+
+
 # Key attachment and audits ---------------------------------------------------------------------------------------
 
 def title_map(pairs: DataFrame, order_by: Sequence[str] = ("seq",)) -> DataFrame:

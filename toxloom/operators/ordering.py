@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -11,6 +12,7 @@ from toxloom.functions.cells import named
 from toxloom.session import work_folder
 
 TOP_ROWS = 100_000  # a page that ends within this many rows is a plain top-k
+SAMPLE = 1_000  # rows of which two give the borders around a deep page
 
 
 def assign_ids(df: DataFrame, order_by: Sequence[str], column: str = "id", partitions: int | None = None, start: int = 0) -> DataFrame:
@@ -38,9 +40,33 @@ def assign_ids(df: DataFrame, order_by: Sequence[str], column: str = "id", parti
 
 
 def page(df: DataFrame, order_by: Sequence[str], skip: int, limit: int, top_rows: int = TOP_ROWS) -> DataFrame:
-    """Rows skip+1 to skip+limit in the given total order. A deep page is a range of row numbers."""
+    """Rows skip+1 to skip+limit in the given total order.
+
+    For a deep page, a bounded sample gives two borders in the order that should hold the page between them; rows below
+    and between are counted, and only those between are cut again and numbered, so the table itself isn't shuffled. A
+    sample that misses, or many equal rows, cost time alone: then all rows left are numbered.
+    """
+    keys = [named(c) for c in order_by]
+    key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
     if skip + limit <= top_rows:
-        return df.orderBy(*map(named, order_by)).offset(skip).limit(limit)
+        return df.orderBy(*keys).offset(skip).limit(limit)
+    kinds = df.select(key.alias("k")).schema["k"].dataType.fields
+    total = df.count()
+    for _ in range(2):
+        if total <= max(top_rows, 4 * limit):
+            break
+        sample = [r.k for r in df.orderBy(F.rand(17)).limit(SAMPLE).select(key.alias("k")).orderBy("k").collect()]
+        end, margin = min(skip + limit, total), 2 * math.sqrt(len(sample)) + 1  # four standard deviations and more
+        at = int(len(sample) * skip / total - margin), int(len(sample) * end / total + margin)
+        low, high = [
+            F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(sample[i], kinds)]) if 0 <= i < len(sample) else None for i in at
+        ]
+        above = F.lit(True) if low is None else key >= low
+        inside = above if high is None else above & (key < high)
+        below, between = df.agg(F.count_if(~above), F.count_if(inside)).first()
+        if below > skip or below + between < end or between > total // 2:
+            break
+        df, skip, total = df.where(inside), skip - below, between
     numbered = assign_ids(df, order_by, "_place")
     return scan_id_range(numbered, skip + 1, skip + limit + 1, "_place").drop("_place")
 

@@ -14,11 +14,12 @@ from toxloom.functions.cells import each, named
 from toxloom.operators.joins import broadcastable, lookup_join
 from toxloom.session import staged
 
-# Texts of one side with no more characters than this in all may be broadcast: six grams a character at most,
-# sixteen bytes each. A wiki's titles take about half of it.
+# Texts of one side with no more characters than this in all may be broadcast: six grams a character at most, each a
+# row of two numbers. A wiki's titles take about half of it.
 SMALL_CHARS = 1 << 19
 OFFERED = 32
-SMALL_ANCHORS = 1_000_000  # counted anchors of sixteen bytes and a length that may be broadcast
+ANCHOR_BYTES = 96  # of an anchor in a hash table: a hash, an id of sixteen bytes, a length, and the row's own
+SMALL_ANCHORS = (96 << 20) // ANCHOR_BYTES  # counted anchors, over all classes, that may be broadcast
 
 # (starts after a blank, length), in order of preference. The last one fits every text.
 CLASSES = [(True, 16), (True, 8), (False, 6), (False, 2), (False, 1), (False, 0)]
@@ -32,15 +33,19 @@ def _grams(text: Column, kind: tuple[bool, int]) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?s){start}(?=(.{{{length}}}))"), F.lit(1))
 
 
+def _has_gram(text: Column, kind: tuple[bool, int]) -> Column:
+    at_word, length = kind
+    return F.rlike(text, F.lit(f"(?s){' ' if at_word else ''}.{{{length}}}"))
+
+
 def _kind(text: Column) -> Column:
     """Index of the first class the text has a gram of."""
-    return F.coalesce(*[F.when(F.size(_grams(text, k)) > 0, F.lit(i)) for i, k in enumerate(CLASSES)])
+    return F.coalesce(*[F.when(_has_gram(text, k), F.lit(i)) for i, k in enumerate(CLASSES)])
 
 
 def _needle_grams(text: Column) -> Column:
     """Grams of the text's first class."""
-    found = [_grams(text, k) for k in CLASSES]
-    return F.array_distinct(F.coalesce(*[F.when(F.size(g) > 0, g) for g in found]))
+    return F.array_distinct(F.coalesce(*[F.when(_has_gram(text, k), _grams(text, k)) for k in CLASSES]))
 
 
 def _kinds_of(needles: DataFrame) -> dict[tuple[bool, int], int]:
@@ -113,11 +118,11 @@ def _links_small(left: DataFrame, right: DataFrame) -> DataFrame:
     return down.unionByName(up)
 
 
-def _contained(hay: DataFrame, needles: DataFrame) -> DataFrame:
+def _contained(hay: DataFrame, needles: DataFrame, small: int) -> DataFrame:
     """(hay id, needle id) where hay contains needle; both sides may be of any size. Texts are distinct.
 
-    Anchors of classes with at most `SMALL_ANCHORS` needles are broadcast and meet the grams where those arise;
-    the grams of more frequent classes shuffle. Only ids and lengths travel; texts join back for the final check.
+    Anchors of the rarest classes, up to `small` in all, are broadcast and meet the grams where those arise; the
+    grams of other classes shuffle. Only ids and lengths travel; texts join back for the final check.
     """
     needles = needles.where(F.length("text") <= _longest(hay))
     keyed = needles.withColumns({"kind": _kind(F.col("text")), "n_len": F.length("text")})
@@ -125,8 +130,12 @@ def _contained(hay: DataFrame, needles: DataFrame) -> DataFrame:
     anchors = anchors.withColumnRenamed("id", "n")
     hay_sized = hay.select(F.col("id").alias("h"), "text", F.length("text").alias("h_len"))
     kinds = _kinds_of(needles)
-    few = [k for k, n in kinds.items() if n <= SMALL_ANCHORS]
-    many = [k for k, n in kinds.items() if n > SMALL_ANCHORS]
+    few, total = [], 0
+    for k, n in sorted(kinds.items(), key=lambda x: x[1]):
+        total += n
+        if total <= small:
+            few.append(k)
+    many = [k for k in kinds if k not in few]
     found = []
     for group in (few, many):
         if group:
@@ -144,21 +153,21 @@ def _contained(hay: DataFrame, needles: DataFrame) -> DataFrame:
     return checked.where(F.contains("text", "needle")).select("h", "n")
 
 
-def _links_large(left: DataFrame, right: DataFrame) -> DataFrame:
+def _links_large(left: DataFrame, right: DataFrame, small: int) -> DataFrame:
     """Copies of a text count once until the links are known, then ids are put back.
 
     The distinct texts are read several times, so they are written once.
     """
 
     def keyed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        rows = df.withColumn("t", F.sha2("text", 256))
+        rows = df.withColumn("t", F.substring(F.unhex(F.sha2("text", 256)), 1, 16))  # 128 bits name a text
         texts = rows.groupBy(F.col("t").alias("id")).agg(F.any_value("text").alias("text"))
         return rows.select("id", "t"), staged(texts, "texts")
 
     left_ids, left_texts = keyed(left)
     right_ids, right_texts = keyed(right)
-    down = _contained(left_texts, right_texts).select(F.col("h").alias("lt"), F.col("n").alias("rt"))
-    up = _contained(right_texts, left_texts).select(F.col("n").alias("lt"), F.col("h").alias("rt"))
+    down = _contained(left_texts, right_texts, small).select(F.col("h").alias("lt"), F.col("n").alias("rt"))
+    up = _contained(right_texts, left_texts, small).select(F.col("n").alias("lt"), F.col("h").alias("rt"))
     links = down.unionByName(up.where(F.col("lt") != F.col("rt")))
     lefts = lookup_join(left_ids.select(F.col("id").alias("l"), F.col("t").alias("lt")), links, "lt", "inner", ["l"])
     both = lookup_join(
@@ -168,13 +177,16 @@ def _links_large(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def substring_link(
-    left: DataFrame, left_key: str, left_text: str, right: DataFrame, right_key: str, right_text: str
+    left: DataFrame, left_key: str, left_text: str, right: DataFrame, right_key: str, right_text: str,
+    small_anchors: int | None = None,
 ) -> DataFrame:
     """(left_key, right_key) where either text contains the other, case kept. Null texts never match.
 
     Keys are unique on each side, and so are the pairs. `right` is the side expected to be small (titles);
-    its size decides the plan, not the result.
+    its size decides the plan, not the result. It is written once, so what it comes from is computed once.
+    `small_anchors` bounds the anchors that may be broadcast where both sides are large.
     """
-    l, r = _side(left, left_key, left_text), _side(right, right_key, right_text)
-    links = _links_small(l, r) if _is_small(r) else _links_large(l, r)
+    l, r = _side(left, left_key, left_text), staged(_side(right, right_key, right_text), "titles")
+    small = SMALL_ANCHORS if small_anchors is None else small_anchors
+    links = _links_small(l, r) if _is_small(r) else _links_large(l, r, small)
     return links.select(F.col("l").alias(left_key), F.col("r").alias(right_key))

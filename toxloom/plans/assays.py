@@ -9,19 +9,25 @@ from pyspark.sql import functions as F
 
 from toxloom.functions.cells import assay_name_short, list_title, named, project_props, with_leading
 from toxloom.operators.graph import merge_edges, upsert_edges, upsert_nodes
-from toxloom.operators.joins import lookup_join
+from toxloom.operators.joins import join_few
 from toxloom.schemas import (
     ASSAY_CHEMICAL_PROPS, ASSAY_PREFIX, CHEMICAL_PREFIX, CHEMICAL_PROPS, CHEMICAL_TYPES, RESULT_PROPS, RESULT_TYPES,
 )
+from toxloom.session import staged
 
 SHEET_META = ["path", "file", "row", "absent", "extra", "error"]
 ORDER = ["path", "row"]
 
 
 def whole_files(rows: DataFrame, required: Sequence[str] = ()) -> DataFrame:
-    """Rows of the files that were read to their end and have the required columns."""
+    """Rows of the files that were read to their end and have the required columns.
+
+    The decoded rows are written once here, as every plan reads them more than once: callers pass the scan itself.
+    """
+    rows = staged(rows, "sheets")
     broken = rows.where(F.col("error").isNotNull()).select("path", F.lit(True).alias("_broken")).dropDuplicates()
-    kept = lookup_join(rows, broken, "path", "left", ["row"]).where(F.col("_broken").isNull()).drop("_broken")
+    kept = join_few(rows, broken, "path", "left", ["row"])
+    kept = kept.where(F.col("_broken").isNull() & F.col("row").isNotNull()).drop("_broken")
     if required:
         kept = kept.where(~F.coalesce(F.arrays_overlap("absent", F.array(*map(F.lit, required))), F.lit(False)))
     return kept

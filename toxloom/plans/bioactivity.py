@@ -12,9 +12,10 @@ from toxloom.functions.cells import (
     number, parse_ids,
 )
 from toxloom.operators.graph import last_by
-from toxloom.operators.joins import attach_dtxsid, bridge, link_chemicals, lookup_join
+from toxloom.operators.joins import attach_dtxsid, bridge, join_few, link_chemicals
 from toxloom.operators.ordering import assign_ids
 from toxloom.schemas import BIOACTIVITY_COLUMNS, NUMBER_COLUMNS, SHEET_COLUMNS
+from toxloom.session import staged
 
 
 def _reason(numbers: Sequence[str]) -> Column:
@@ -34,18 +35,19 @@ def _reason(numbers: Sequence[str]) -> Column:
 def load_bioactivity(rows: DataFrame, titles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, rejects) from decoded workbooks.
 
-    A file loads as a whole or not at all. Files with a problem become one reject row each, with the reason, and
-    their rows are kept out by a join on the few rejected paths. Good rows keep `path` and `row`.
+    A file loads as a whole or not at all. Files with a problem, those without rows included, become one reject row
+    each, with the reason, and their rows are kept out. Good rows keep `path` and `row`. The checked rows are written
+    once, as they feed both outputs; rejected paths are counted, and broadcast where they are few.
     """
     keyed = rows.withColumn("TITLE", bioactivity_title(F.col("file")))
     keyed = attach_dtxsid(keyed, titles.select(F.col("title"), F.col("dtxsid").alias("dtxsid")), "TITLE", ["path", "row"])
     cleaned = null_sentinel(keyed.withColumnRenamed("dtxsid", "DTXSID"), NUMBER_COLUMNS)
-    checked = cleaned.withColumn("_reason", _reason(NUMBER_COLUMNS))
-    rejects = (
+    checked = staged(cleaned.withColumn("_reason", _reason(NUMBER_COLUMNS)), "checked")
+    rejects = staged(
         checked.where(F.col("_reason").isNotNull()).groupBy("path")
-        .agg(F.min("file").alias("file"), F.min("_reason").alias("reason"))
+        .agg(F.min("file").alias("file"), F.min("_reason").alias("reason")), "rejects",
     )
-    flagged = lookup_join(checked, rejects.select("path", F.lit(True).alias("_rejected")), "path", "left", ["row"])
+    flagged = join_few(checked, rejects.select("path", F.lit(True).alias("_rejected")), "path", "left", ["row"])
     typed = [
         (number(named(c)) if c in NUMBER_COLUMNS else named(c)).alias(c) for c in BIOACTIVITY_COLUMNS
     ]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # The missing-number cell of bioactivity exports, and the columns it occurs in.
 MISSING_NUMBER = " -  "
 NUMBER_COLUMNS = [
@@ -73,11 +71,3 @@ SPACES = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0            "
     "    　"
 )
-
-PAGE = T.StructType([
-    T.StructField("kind", T.StringType()),
-    T.StructField("id", T.LongType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("status", T.IntegerType()),
-    T.StructField("html", T.StringType()),
-])

@@ -170,7 +170,8 @@ def decode_workbooks(
     """Rows of (path, content) workbooks with the given columns as text. Give `partitions` to spread few large tasks.
 
     `row` counts from 1 below the header. `absent` lists requested columns the file lacks, `extra` those it has
-    beyond them. A file that cannot be read yields one row that has only `path` and `error`.
+    beyond them. A file that cannot be read yields one row that has only `path` and `error`; one without rows below
+    its header yields one row whose `row` and cells are null.
     """
     columns = list(columns)
     meta = ["path", "row", "absent", "extra", "error"]
@@ -206,6 +207,8 @@ def decode_workbooks(
                         if len(out) >= BATCH:
                             yield batch_of(out)
                             out = []
+                    if n == 0:  # the file's faults must still be seen
+                        out.append((path, None, absent, extra, None, *[None] * len(columns)))
                 except Exception as e:  # a broken file is data to reject, not a reason to stop
                     out.append((path, None, None, None, f"{type(e).__name__}: {e}", *[None] * len(columns)))
             if out:
