@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from toxloom.llm import exact_dedup, jaccard_join, language_id, mixing, ngram_trie, packing, passages, token_counts, toxicity, vector_search
+from toxloom.llm import conversation_repair, exact_dedup, jaccard_join, language_id, mixing, ngram_trie, packing, passages, token_counts, toxicity, vector_search
+from toxloom.session import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,3 +99,16 @@ def op5_ngram_trie(spark, sf_dir):
 def op3_shared_passages(spark, sf_dir):
     """Passages of 50 words or more that documents share."""
     return passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op13_conversation_repair(spark, sf_dir):
+    """Faults and the cheapest repair of every conversation, after a fixed part of its rows is damaged."""
+    rows = table(spark, sf_dir, "conversations")
+    marked = staged(conversation_repair.faults(conversation_repair.damaged(rows)), "faults")
+    told = conversation_repair.digest(conversation_repair.repair(marked))
+    every = rows.select("conv_id").distinct()  # those that lost all rows too
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(told, every["conv_id"].eqNullSafe(told["conv"]), "left").select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
