@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toxloom.llm import conversation_repair, exact_dedup, jaccard_join, language_id, mixing, ngram_trie, packing, passages, token_counts, toxicity, vector_search
+from toxloom.llm import conversation_repair, exact_dedup, jaccard_join, language_id, mixing, ngram_trie, packing, passages, token_counts, toxicity, vector_search, whitening
 from toxloom.session import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,9 @@ def op13_conversation_repair(spark, sf_dir):
     return every.join(told, every["conv_id"].eqNullSafe(told["conv"]), "left").select(
         "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
     )
+
+
+@register()
+def op11_embedding_whitening(spark, sf_dir):
+    """All embeddings in their first 16 principal components, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
