@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toxloom.llm import conversation_repair, exact_dedup, jaccard_join, language_id, mixing, ngram_trie, packing, passages, token_counts, toxicity, vector_search, whitening
+from toxloom.llm import conversation_repair, exact_dedup, jaccard_join, language_id, mixing, ngram_trie, packing, passages, secret_scan, token_counts, toxicity, vector_search, whitening
 from toxloom.session import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,3 +118,16 @@ def op13_conversation_repair(spark, sf_dir):
 def op11_embedding_whitening(spark, sf_dir):
     """All embeddings in their first 16 principal components, whitened."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register()
+def op12_secret_scan(spark, sf_dir):
+    """Secrets of every document: pattern matches, and what a character network trained on them adds."""
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    base = F.filter("findings", lambda f: f["kind"] != "model")
+    count = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ",")
+    return found.select(
+        "doc_id", *map(count, secret_scan.BASE), F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("findings")).alias("spans"),
+    )
