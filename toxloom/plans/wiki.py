@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toxloom.functions.cells import int_id, is_digits, named, project_props
+from toxloom.functions.cells import each, int_id, is_digits, named, project_props
 from toxloom.operators.graph import has_keys, last_by, merge_edges, update_nodes, upsert_nodes
-from toxloom.operators.joins import causes_edges, event_stubs, link_by_id
+from toxloom.operators.joins import causes_edges, event_key, event_stubs, link_by_id
 from toxloom.operators.substring import substring_link
 from toxloom.operators.unnest import explode_csv_cell, explode_first_list, explode_zip_longest, flatten_rows
 from toxloom.schemas import AOP_PROPS, EVENT_LEVEL_PROPS, EVENT_PROPS, RELATION_PROPS, STRESSOR_PROPS
 from toxloom.sources.pages import table_columns
+from toxloom.streaming import bridges, stored
 
 SHAPES = {"zip": explode_zip_longest, "first": explode_first_list, "flat": flatten_rows}
 
@@ -144,3 +145,58 @@ def wiki_graph(
         "CAUSES": causes_edges(ends, titles),
         "ASSOCIATED_WITH": stressor_links(expanded, aop),
     }
+
+
+# The causal graph over several loads ----------------------------------------------------------------------------------
+#
+# Relations name events by title and may come before them. Events are told apart by id; a title stands for every event that bears it
+# now, and for a stub while none does. So the graph is the same whatever the order of the loads.
+
+def load_relations(spark: SparkSession, root: str, ends: DataFrame, order_by: Sequence[str]) -> None:
+    """Store relations (`id`, `up`, `down`), the last of an id wins, and move the edges of those that changed."""
+    stored.replace_part(spark, f"{root}/relations", ends.select("id", "up", "down", *map(named, order_by)), "id", order_by)
+    _settle_causes(spark, root)
+
+
+def load_events(spark: SparkSession, root: str, events: DataFrame, order_by: Sequence[str]) -> None:
+    """Store events (`id`, `title` and more), the last of an id wins. Edges move from stubs to events that bear their title now, and back."""
+    stored.upsert_part(spark, f"{root}/events", events, "id", [c for c in events.columns if c != "id" and c not in order_by], order_by)
+    _settle_causes(spark, root)
+
+
+def _settle_causes(spark: SparkSession, root: str) -> None:
+    def pairs(rows: DataFrame) -> DataFrame:
+        end = lambda side: F.struct(F.struct("id", F.lit(side).alias("side")).alias("src"), F.col(side).alias("key"))
+        return rows.select(each(F.array(end("up"), end("down"))).alias("_end"), "sign").select("_end.*", "sign")
+
+    def nodes(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col("title").alias("key"), F.col("id").alias("node"), "sign")
+
+    for part, schema in (("relations", "id bigint, up string, down string"), ("events", "id bigint, title string")):
+        if stored.open_version(spark, f"{root}/{part}") is None:  # the other load came first
+            stored.change(spark, f"{root}/{part}", "id", None, lambda _: spark.createDataFrame([], schema))
+    bridges.catch_up(spark, f"{root}/causes", f"{root}/relations", f"{root}/events", pairs, nodes, stubs=True)
+
+
+def _causes(edges: DataFrame) -> DataFrame:
+    event, relation, up = event_key(F.col("node"), F.col("key")), F.concat(F.lit("rel:"), F.col("src.id").cast("string")), F.col("src.side") == "up"
+    return edges.select(
+        F.when(up, event).otherwise(relation).alias("src"), F.when(up, relation).otherwise(event).alias("dst"), *[c for c in edges.columns if c == "sign"]
+    )
+
+
+def stored_causes(spark: SparkSession, root: str) -> DataFrame:
+    """upstream event -> relation -> downstream event, as `causes_edges` gives them for all loads at once."""
+    return _causes(bridges.bridge_edges(spark, stored.open_version(spark, f"{root}/causes")))
+
+
+def edge_moves(spark: SparkSession, root: str) -> DataFrame:
+    """Edges that the last load made (`sign` 1) and took away (-1)."""
+    return _causes(bridges.edge_changes(spark, stored.open_version(spark, f"{root}/causes")))
+
+
+def stored_event_nodes(spark: SparkSession, root: str) -> DataFrame:
+    """Stored events and a node without id for each title that only relations name."""
+    edges = bridges.bridge_edges(spark, stored.open_version(spark, f"{root}/causes"))
+    stubs = edges.where("node is null").select(F.lit(None).cast("bigint").alias("id"), F.col("key").alias("title")).distinct()
+    return stored.read_stored(spark, f"{root}/events").unionByName(stubs, allowMissingColumns=True)

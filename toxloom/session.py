@@ -51,5 +51,56 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder of `work_folder` that its owner no longer reads."""
+    where, fs = _fs(spark, path)
+    fs.delete(where, True)
+
+
+# Small files of the shared file system ---------------------------------------------------------------------------------
+
+def _fs(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, fs = _fs(spark, path)
+    return fs.exists(where)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where the folder is missing."""
+    where, fs = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    where, fs = _fs(spark, path)
+    stream = fs.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def put_if_absent(spark: SparkSession, path: str, body: str) -> bool:
+    """Make a small file appear whole, or not at all where the name is taken: of two writers one gets False.
+
+    The body is written aside and renamed without overwriting, which the file system decides in one step.
+    """
+    jvm = spark._jvm
+    where, fs = _fs(spark, path)
+    aside = jvm.org.apache.hadoop.fs.Path(where.getParent(), f".aside-{uuid.uuid4().hex}")
+    stream = fs.create(aside, False)
+    stream.write(bytearray(body.encode()))
+    stream.close()
+    option = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    plain = spark.sparkContext._gateway.new_array(option, 1)
+    plain[0] = option.valueOf("NONE")
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(aside), fs.makeQualified(where), plain)
+        return True
+    except Exception:
+        if not fs.exists(where):
+            raise
+        fs.delete(aside, False)
+        return False

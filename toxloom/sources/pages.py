@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from toxloom.functions.cells import named
 from toxloom.schemas import ABSENT_MARK
-from toxloom.streaming.incremental import read_current
+from toxloom.streaming.stored import read_stored
 
 # Elements without content, and elements whose text is not page text.
 VOID = frozenset(
@@ -25,7 +25,7 @@ UNREAD = frozenset("rp rt script style template".split())
 
 def read_pages(spark: SparkSession, folder: str, kind: str = "*") -> DataFrame:
     """Pages stored as `<kind>/<id>/<id>.html`, or by `write_pages`: then its newest version."""
-    stored = read_current(spark, folder.rstrip("/"))
+    stored = read_stored(spark, folder.rstrip("/"))
     if stored is not None:
         return (stored if kind == "*" else stored.where(F.col("kind") == kind)).select("kind", F.col("id").cast("bigint").alias("id"), "html")
     where = F.col("_metadata.file_path")

@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from toxloom.functions.cells import named
 from toxloom.operators.graph import last_by
-from toxloom.streaming.incremental import rewrite
+from toxloom.session import exists
+from toxloom.streaming.stored import replace_part
 
 
 def append_table(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
@@ -47,10 +48,7 @@ def append_nodes(df: DataFrame, path: str, key: str | Sequence[str] | None = Non
 
 def stored_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at `path`, or None before its first write."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        return None
-    return spark.read.parquet(path)
+    return spark.read.parquet(path) if exists(spark, path) else None
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -64,13 +62,6 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_pages(df: DataFrame, path: str, order_by: Sequence[str]) -> None:
     """Page store, one row per (kind, id): the last fetch wins, and a later call wins over stored pages. Other pages stay.
 
-    The merged store is the next version of the table at `path`; `read_current` of the incremental module reads it.
+    The store is a table in buckets by (kind, id): a call writes only those of its pages. `read_pages` reads it.
     """
-    fetched = last_by(df, ["kind", "id"], order_by)
-
-    def merged(stored: DataFrame | None) -> DataFrame:
-        if stored is None:
-            return fetched
-        return stored.join(fetched.select("kind", "id"), ["kind", "id"], "left_anti").unionByName(fetched, allowMissingColumns=True)
-
-    rewrite(df.sparkSession, path, merged)
+    replace_part(df.sparkSession, path, df, ["kind", "id"], order_by)
