@@ -44,9 +44,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
     Unlike a cache it outlives its executors, and it cuts the lineage.
     """
+    return staged_at(df, name)[0]
+
+
+def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As `staged`, with the folder, for an owner that knows when to `discard` it."""
     path = work_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.parquet(path), path
 
 
 def discard(spark: SparkSession, path: str) -> None:
