@@ -28,11 +28,15 @@ from toxloom.plans import bioactivity as bio_plan
 from toxloom.plans import wiki as wiki_plan
 from toxloom.schemas import AOP_PROPS, BIOACTIVITY_COLUMNS, CHEMICAL_PROPS, MISSING_NUMBER, NUMBER_COLUMNS, SHEET_COLUMNS, SPACES
 from toxloom.session import work_folder
+from toxloom.sources import ledger as L
 from toxloom.sources import pages as P
 from toxloom.sources import sinks as K
 from toxloom.sources import text as S
 from toxloom.sources import workbooks as W
+from toxloom.streaming import bridges as B
+from toxloom.streaming import chunks as R
 from toxloom.streaming import incremental as I
+from toxloom.streaming import stored as D
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -407,6 +411,16 @@ def clean_keys(spark, sf_dir):
     return e.select("event_id", F.explode(C.clean_keys(spelled)).alias("prop", "value"))
 
 
+@register("""
+    SELECT event_id, unnest([event_type || '_' || user_id % 3, 'p_' || user_id % 3]) AS key, unnest([value::VARCHAR, props]) AS value FROM events""")
+def clean_keys_collide(spark, sf_dir):
+    """Keys that are data and clean to the same name: the last one wins."""
+    n = (F.col("user_id") % 3).cast("string")
+    keys = [F.concat("event_type", F.lit("-"), n), F.concat("event_type", F.lit(" "), n), F.concat(F.lit("p "), n)]
+    props = F.create_map(*[x for k, v in zip(keys, (F.lit("old"), F.col("value").cast("string"), F.col("props"))) for x in (k, v)])
+    return table(spark, sf_dir, "events").select("event_id", F.explode(C.clean_keys(props)).alias("key", "value"))
+
+
 @register("""
     SELECT c_custkey, c_name || sha256('{"c_custkey":"' || c_custkey || '","c_mktsegment":"' || c_mktsegment
       || '","c_nationkey":' || CASE WHEN c_nationkey = 3 THEN 'null' ELSE '"' || c_nationkey || '"' END || '}') AS content_id
@@ -1218,6 +1232,16 @@ def wiki_causes_matched(spark, sf_dir):
     return J.causes_edges(wiki_plan.relation_ends(relations), events)
 
 
+@register("SELECT 'k' || page_id % 4 AS kind, page_id AS id, html FROM pages")
+def page_files(spark, sf_dir):
+    """Detail pages stored as files `kind/id/id.html`."""
+    pages = table(spark, sf_dir, "pages")
+    folder = work_folder(spark, "page-files")
+    path = F.concat(F.lit("k"), (F.col("page_id") % 4).cast("string"), F.lit("/"), text("page_id"), F.lit("/"), text("page_id"), F.lit(".html"))
+    put_files(pages.select(path.alias("path"), F.col("html").cast("binary").alias("content")), folder)
+    return P.read_pages(spark, folder)
+
+
 # Incremental =====================================================================================================
 
 @register("""
@@ -1261,6 +1285,174 @@ def stored_upsert(spark, sf_dir):
     return I.upsert_stored(spark, root, second, "id", ["priority"], ["o_orderdate", "o_orderkey"])
 
 
+@register("""
+    SELECT o_orderkey AS id, CASE WHEN n_nationkey IS NULL THEN o_orderpriority ELSE n_name END AS priority,
+      CASE WHEN s_suppkey IS NULL THEN o_orderstatus ELSE s_name END AS status
+    FROM orders LEFT JOIN supplier ON s_suppkey = o_orderkey LEFT JOIN nation ON n_nationkey = o_orderkey""")
+def stored_upsert_partial(spark, sf_dir):
+    """A stored table of all orders, then an upsert and an update of few keys, which write the buckets of those keys only."""
+    root = work_folder(spark, "buckets")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"))
+    D.upsert_part(spark, root, orders, "id", ["priority", "status"], [], buckets=128)
+    few = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("status"))
+    D.upsert_part(spark, root, few, "id", ["status"], [])
+    fewer = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("priority"))
+    return D.rows_of(spark, D.update_part(spark, root, fewer, "id", ["priority"], []))
+
+
+@register("""
+    SELECT * FROM (SELECT user_id, event_id, event_type FROM events
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id % 4 DESC, event_id DESC) = 1) WHERE event_type <> 'error'""")
+def incremental_folded(spark, sf_dir):
+    """Four loads, folded into a snapshot after every second one. A user whose last event is an error is gone."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", (F.col("event_type") == "error").alias("gone"))
+    folder = work_folder(spark, "folds")
+    for rest in range(4):
+        events.where(F.col("event_id") % 4 == rest).write.mode("append").parquet(f"{folder}/in")
+        I.incremental_load(spark, f"{folder}/in", events.schema, f"{folder}/checkpoint", f"{folder}/changes")
+        if I.fold_changes(spark, f"{folder}/changes", "user_id", ["event_id"], "gone", every=2):
+            I.drop_folded(spark, f"{folder}/changes")
+    return I.current_rows(spark, f"{folder}/changes", "user_id", ["event_id"], "gone").select("user_id", "event_id", "event_type")
+
+
+def moving_bridge(spark: SparkSession, sf_dir: str) -> D.Version:
+    """Orders name parts; then lists change, orders and parts go and parts come, and the bridge follows."""
+    root = work_folder(spark, "bridge")
+    orders, parts = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_size")
+    first = F.array("o_custkey", F.floor(F.col("o_orderkey") / 7).cast("bigint"))
+    follow = lambda: B.catch_up(
+        spark, f"{root}/edges", f"{root}/facts", f"{root}/nodes", lambda r: B.named_keys(r, "id", "ids").withColumnRenamed("id", "src"),
+        lambda r: r.select(F.col("id").alias("key"), F.col("id").alias("node"), "sign"))
+    lists = orders.select(F.col("o_orderkey").alias("id"), "o_orderstatus", first.alias("ids"))
+    D.replace_part(spark, f"{root}/facts", lists.select("id", "ids"), "id")
+    D.replace_part(spark, f"{root}/nodes", parts.where("p_size <= 25").select("id"), "id")
+    follow()
+    other = lists.where("o_orderstatus in ('O', 'P')").withColumn("ids", F.transform(F.slice("ids", 1, 1), lambda x: x + 1))
+    D.replace_part(spark, f"{root}/facts", other.select("id", "ids", (F.col("o_orderstatus") == "P").alias("gone")), "id", (), "gone")
+    moved = parts.where("p_size <= 10 or p_size > 25").select("id", (F.col("p_size") <= 10).alias("gone"))
+    D.replace_part(spark, f"{root}/nodes", moved, "id", (), "gone")
+    return follow()
+
+
+BRIDGE_SQL = """
+    WITH was AS (SELECT DISTINCT o_orderkey AS src, node FROM (SELECT o_orderkey, unnest([o_custkey, o_orderkey // 7]) AS node FROM orders)
+        JOIN part ON p_partkey = node WHERE p_size <= 25),
+      now AS (SELECT DISTINCT o_orderkey AS src, node FROM (
+          SELECT o_orderkey, unnest(CASE o_orderstatus WHEN 'O' THEN [o_custkey + 1] ELSE [o_custkey, o_orderkey // 7] END) AS node
+          FROM orders WHERE o_orderstatus <> 'P') JOIN part ON p_partkey = node WHERE p_size > 10)"""
+
+
+@register(f"{BRIDGE_SQL} SELECT * FROM now")
+def bridge_kept(spark, sf_dir):
+    """A bridge after changes of its lists and nodes: equal to one built anew."""
+    return B.bridge_edges(spark, moving_bridge(spark, sf_dir)).select("src", "node")
+
+
+@register(f"""{BRIDGE_SQL}
+    SELECT *, 1 AS sign FROM (SELECT * FROM now EXCEPT SELECT * FROM was) UNION ALL SELECT *, -1 FROM (SELECT * FROM was EXCEPT SELECT * FROM now)""")
+def bridge_moves(spark, sf_dir):
+    """What that change made and took away."""
+    return B.edge_changes(spark, moving_bridge(spark, sf_dir)).select("src", "node", "sign")
+
+
+def causes_over_loads(spark: SparkSession, sf_dir: str) -> str:
+    """Relations before the events they name, then events, more relations, and events with another title."""
+    root = work_folder(spark, "causes")
+    ends = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.concat(F.lit("S"), text("o_custkey")).alias("up"),
+        F.concat(F.lit("S"), F.floor(F.col("o_orderkey") / 8).cast("string")).alias("down"), "o_orderstatus",
+    )
+    events = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.concat(F.lit("S"), text("c_custkey")).alias("title"))
+    renamed = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.concat(F.lit("S"), F.floor(F.col("s_suppkey") / 2).cast("string")).alias("title"))
+    wiki_plan.load_relations(spark, root, ends.where("o_orderstatus <> 'P'"), [])
+    wiki_plan.load_events(spark, root, events, [])
+    wiki_plan.load_relations(spark, root, ends.where("o_orderstatus = 'P'"), [])
+    wiki_plan.load_events(spark, root, renamed, [])
+    return root
+
+
+EVENTS_SQL = """SELECT c_custkey AS id, 'S' || CASE WHEN s_suppkey IS NULL THEN c_custkey ELSE s_suppkey // 2 END AS title
+    FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey"""
+ENDS_SQL = """SELECT o_orderkey AS rel, unnest(['u', 'd']) AS side, unnest(['S' || o_custkey, 'S' || o_orderkey // 8]) AS title FROM orders"""
+
+
+@register(f"""
+    WITH ev AS ({EVENTS_SQL}), ends AS ({ENDS_SQL}),
+      k AS (SELECT side, 'rel:' || rel AS rel, CASE WHEN id IS NULL THEN 'title:' || ends.title ELSE 'id:' || id END AS ev FROM ends LEFT JOIN ev USING (title))
+    SELECT CASE side WHEN 'u' THEN ev ELSE rel END AS src, CASE side WHEN 'u' THEN rel ELSE ev END AS dst FROM k""")
+def wiki_causes_loads(spark, sf_dir):
+    """Edges have moved from stubs to the events that came later, and from titles that events gave up."""
+    return wiki_plan.stored_causes(spark, causes_over_loads(spark, sf_dir))
+
+
+@register(f"""
+    WITH ev AS ({EVENTS_SQL}), ends AS ({ENDS_SQL})
+    SELECT id, title FROM ev UNION ALL SELECT DISTINCT NULL::BIGINT, title FROM ends WHERE title NOT IN (SELECT title FROM ev)""")
+def wiki_events_loads(spark, sf_dir):
+    """Events and the stubs that are left."""
+    return wiki_plan.stored_event_nodes(spark, causes_over_loads(spark, sf_dir)).select("id", "title")
+
+
+@register("""
+    WITH o AS (SELECT *, o_orderkey // 256 AS block FROM orders),
+      a AS (SELECT 'in/b-' || block || '.xlsx' AS path, row_number() OVER (PARTITION BY block ORDER BY o_orderkey) AS row, o_orderkey::VARCHAR AS "KEY", block
+        FROM o WHERE o_orderstatus <> 'P'),
+      i AS (SELECT *, row_number() OVER (ORDER BY path, row) AS id FROM a),
+      b AS (SELECT 'in/b-' || block || '.xlsx' AS path, row_number() OVER (PARTITION BY block ORDER BY o_orderkey) AS row, o_orderkey::VARCHAR AS "KEY"
+        FROM o WHERE block % 4 = 1)
+    SELECT id, path, row, "KEY" FROM i WHERE block % 4 IN (0, 3)
+    UNION ALL SELECT i.id, b.path, b.row, b."KEY" FROM b JOIN i USING (path, row)
+    UNION ALL SELECT (SELECT max(id) FROM i) + row_number() OVER (ORDER BY path, row), path, row, "KEY" FROM b ANTI JOIN i USING (path, row)""")
+def replaced_workbooks(spark, sf_dir):
+    """Workbooks come again: some with more rows, some not at all, the others as they were. Rows that stay keep their ids."""
+    root, orders = work_folder(spark, "ledger"), table(spark, sf_dir, "orders")
+    block = F.floor(F.col("o_orderkey") / 256).cast("bigint")
+
+    def books(rows: DataFrame) -> DataFrame:
+        made = workbooks(rows, block, "o_orderkey", {"KEY": num(F.col("o_orderkey")), "STATUS": txt(F.col("o_orderstatus"))})
+        return made.select(F.concat(F.lit("in/b-"), text("block"), F.lit(".xlsx")).alias("path"), "content")
+
+    def decode(files: DataFrame) -> DataFrame:
+        return W.decode_workbooks(files, ["KEY", "STATUS"]).select("path", "row", "KEY", "STATUS")
+
+    first = orders.where("o_orderstatus <> 'P'")
+    L.load_files(spark, root, books(first), decode, complete=True)
+    second = orders.where(block % 4 == 1).unionByName(first.where((block % 4 == 0) | (block % 4 == 3)))
+    L.load_files(spark, root, books(second), decode, complete=True)
+    return L.stored_rows(spark, root).select("id", "path", "row", "KEY")
+
+
+def ranged_pairs(spark: SparkSession, sf_dir: str) -> str:
+    """Pairs of orders and the parts they name, by ranges of order ids: a run that ends after one range, and one that goes on."""
+    root = work_folder(spark, "ranges")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.array("o_custkey", F.floor(F.col("o_orderkey") / 7).cast("bigint")).alias("ids"))
+    parts = table(spark, sf_dir, "part")
+    for most in (1, None):
+        R.load_ranges(
+            spark, orders, root, lambda rows: J.matched_pairs(rows, parts, ["id"], "ids", "p_partkey"), size=5000, most=most,
+            totals={"affected": F.count("*"), "highest": F.max("dst")},
+        )
+    return root
+
+
+RANGED_SQL = """SELECT o_orderkey AS id, dst FROM (SELECT o_orderkey, unnest([o_custkey, o_orderkey // 7]) AS dst FROM orders) JOIN part ON p_partkey = dst"""
+
+
+@register(RANGED_SQL)
+def ranged_load(spark, sf_dir):
+    """The rows of a load by ranges that was stopped and resumed."""
+    return R.read_ranges(spark, ranged_pairs(spark, sf_dir))
+
+
+@register(f"""
+    WITH p AS ({RANGED_SQL})
+    SELECT id // 5000 * 5000 AS lo, least(id // 5000 * 5000 + 5000, (SELECT max(o_orderkey) + 1 FROM orders)) AS hi, count(*) AS affected, max(dst) AS highest
+    FROM p GROUP BY 1, 2""")
+def range_totals(spark, sf_dir):
+    """Totals that each range's write has noted."""
+    return R.range_totals(spark, ranged_pairs(spark, sf_dir))
+
+
 # Operators for training-data pipelines, where their folder is present ===============================================
 
 try:

@@ -127,3 +127,14 @@ def test_folds_without_marks(spark, tmp_path, rows):
         I.incremental_load(spark, src, nodes(spark).schema, chk, out)
         assert I.fold_changes(spark, out, "id", ["seq"])
     assert rows(I.current_rows(spark, out, "id", ["seq"]).select("id", "v")) == [(0, "b"), (1, "a2"), (2, "b")]
+
+
+def test_other_numbers_of_buckets(spark, tmp_path, rows):
+    root = f"{tmp_path}/t"
+    first = S.upsert_part(spark, root, nodes(spark, *[(i, "a") for i in range(100)]), "id", ["v"], ["seq"], buckets=2)
+    more = S.rebucket(spark, root, 8)
+    assert sorted(more.folders) == list(range(8)) and S.rows_of(spark, more).count() == 100
+    last = S.upsert_part(spark, root, nodes(spark, (5, "b")), "id", ["v"], ["seq"])
+    assert len(last.changed) == 1 and last.buckets == 8
+    signed = S.signed_between(spark, root, first.number, last).groupBy("id", "v").agg(F.sum("sign").alias("s")).where("s <> 0")
+    assert rows(signed) == [(5, "a", -1), (5, "b", 1)]

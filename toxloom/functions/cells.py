@@ -117,8 +117,12 @@ def clean_props(df: DataFrame, cols: list[str] | None = None) -> Column:
 
 
 def clean_keys(props: Column) -> Column:
-    """Cleaned keys for maps whose keys are data. `(?U)` makes Java's word class Unicode-wide."""
-    return F.transform_keys(props, lambda k, _: F.regexp_replace(k, r"(?U)\W+", "_"))
+    """Cleaned keys for maps whose keys are data; of keys that clean to one name the last wins. `(?U)` makes Java's word class Unicode-wide."""
+    entries = F.transform(F.map_entries(props), lambda e: F.struct(F.regexp_replace(e["key"], r"(?U)\W+", "_").alias("key"), e["value"].alias("value")))
+    keys = F.transform(entries, lambda e: e["key"])
+    # From the end, a key's first place is its last one.
+    last = F.filter(entries, lambda e, i: F.size(keys) - F.array_position(F.reverse(keys), e["key"]) == i)
+    return F.map_from_entries(F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(last))
 
 
 def content_id(name: Column, props: Column) -> Column:

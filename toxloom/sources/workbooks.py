@@ -19,6 +19,7 @@ from toxloom.functions.cells import na_to_null, named
 SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 BATCH = 5_000  # sheet rows per Arrow batch
+WIDEST = 16_384  # columns of a sheet
 
 # Built-in number formats that show a date or a time.
 DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
@@ -139,8 +140,11 @@ def _files(spark: SparkSession, folder: str, recursive: bool, glob: str | None)
     return reader.load(folder).select("path", "content")
 
 
-def workbook_columns(files: DataFrame) -> list[str]:
-    """Names of all columns, in order of first sight. Reads header rows only."""
+def workbook_columns(files: DataFrame, most: int = WIDEST) -> list[str]:
+    """Names of all columns, in order of first sight. Reads header rows only.
+
+    More than `most` names are an error: a sheet can't be wider, so the files are no one table.
+    """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,9 +163,11 @@ def workbook_columns(files: DataFrame) -> list[str]:
             )
 
     found = files.mapInArrow(parse, "path string, at int, name string")
-    # Distinct names only: as many as a table has columns.
-    first = found.groupBy("name").agg(F.min(F.struct("at", "path")).alias("first")).orderBy("first", "name")
-    return [r.name for r in first.collect()]
+    first = found.groupBy("name").agg(F.min(F.struct("at", "path")).alias("first")).orderBy("first", "name").limit(most + 1)
+    names = [r.name for r in first.select("name").collect()]
+    if len(names) > most:
+        raise ValueError(f"the workbooks have more than {most} columns: name those that are wanted")
+    return names
 
 
 def decode_workbooks(

@@ -23,7 +23,7 @@ from toxloom.functions.cells import named
 from toxloom.operators.graph import has_keys, last_by, update_nodes, upsert_nodes
 from toxloom.session import discard, names_in, put_if_absent, read_small
 
-BUCKETS = 64          # of a new table; lists and plans grow with it, the cost of a small change falls
+BUCKETS = 16          # of a new table; choose it so that a bucket holds some GB. A small change costs less with more of them, lists and plans grow
 BUCKET = "_in_bucket"  # column of the folders; no table may have it
 Fold = Callable[[DataFrame | None], DataFrame]
 
@@ -90,7 +90,10 @@ def changed_rows(spark: SparkSession, version: Version) -> DataFrame:
 
 def signed_between(spark: SparkSession, root: str, old: int, new: Version) -> DataFrame:
     """Rows in the buckets written since version `old` (0: since there was none): as they were with `sign` -1, as they are with 1."""
-    touched = sorted({b for n in versions(spark, root) if old < n <= new.number for b in open_version(spark, root, n).changed})
+    since = [open_version(spark, root, n) for n in versions(spark, root) if old <= n <= new.number]
+    touched = sorted({b for v in since if v.number > old for b in v.changed})
+    if len({v.buckets for v in since}) > 1:
+        touched = None  # dealt anew in between
     now = rows_of(spark, new, touched).withColumn("sign", F.lit(1))
     if not old:
         return now
@@ -147,7 +150,7 @@ def change(
         if put_if_absent(spark, _list(root, version.number), version.text()):
             return version
         rival = open_version(spark, root, version.number)
-        if base is None or meta or set(rival.changed) & set(mine) or rival.schema != base.schema or schema != base.schema:
+        if base is None or meta or rival.buckets != n or set(rival.changed) & set(mine) or rival.schema != base.schema or schema != base.schema:
             if mine:
                 discard(spark, f"{root}/{load}")
             raise Conflict(f"{root} has a version {rival.number} of another writer")
@@ -166,6 +169,21 @@ def _schema(base: Version | None, new: DataFrame) -> T.StructType:
     return T.StructType([*base.schema.fields, *[f for f in plain(new.schema) if f.name not in own]])
 
 
+def rebucket(spark: SparkSession, root: str, buckets: int) -> Version:
+    """Deal a table that has grown, or shrunk, into another number of buckets. Reads and writes all of it."""
+    root = root.rstrip("/")
+    base = open_version(spark, root)
+    load = f"load={uuid.uuid4().hex[:16]}"
+    out = rows_of(spark, base).withColumn(BUCKET, bucket(base.keys, base.schema, buckets))
+    out.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(f"{root}/{load}")
+    folders = {int(x.split("=")[1]): f"{load}/{x}" for x in names_in(spark, f"{root}/{load}") if x.startswith(f"{BUCKET}=")}
+    version = base._replace(number=base.number + 1, buckets=buckets, folders=folders, changed=list(range(buckets)))
+    if not put_if_absent(spark, _list(root, version.number), version.text()):
+        discard(spark, f"{root}/{load}")
+        raise Conflict(f"{root} has a version {version.number} of another writer")
+    return version
+
+
 def forget(spark: SparkSession, root: str, keep: int = 1) -> int:
     """Remove what only versions before the newest `keep` refer to. Not while another writer is at work: its folder isn't listed yet."""
     root = root.rstrip("/")
