@@ -23,6 +23,7 @@ from toxloom.operators import joins as J
 from toxloom.operators import ordering as O
 from toxloom.operators import unnest as U
 from toxloom.operators.substring import substring_link as link_texts
+from toxloom.operators.substring import substring_self_link as link_table
 from toxloom.plans import assays as assay_plan
 from toxloom.plans import bioactivity as bio_plan
 from toxloom.plans import wiki as wiki_plan
@@ -163,8 +164,20 @@ def substring_link_names(spark, sf_dir):
     SELECT d.doc_id, o.doc_id AS other_id FROM documents d JOIN documents o ON contains(d.text, o.text) OR contains(o.text, d.text)""")
 def substring_link_texts(spark, sf_dir):
     """Both sides grow with the data."""
-    docs = table(spark, sf_dir, "documents")
-    return link_texts(docs, "doc_id", "text", docs.withColumnRenamed("doc_id", "other_id"), "other_id", "text")
+    return link_table(table(spark, sf_dir, "documents"), "doc_id", "text", "other_id")
+
+
+COMMON_SQL = """SELECT doc_id, 'All of these words are held by every single text here. ' || text || ' And these words close them all, without exception.' AS t FROM documents"""
+
+
+@register(f"""
+    WITH a AS ({COMMON_SQL}), b AS (SELECT doc_id AS other_id, substr(t, 1, 150) AS t FROM a)
+    SELECT a.doc_id, b.other_id FROM a JOIN b ON contains(a.t, b.t) OR contains(b.t, a.t)""")
+def substring_link_common(spark, sf_dir):
+    """Lines that all texts hold: what tells the shorter texts apart are the words behind the first line."""
+    line = F.lit("All of these words are held by every single text here. ")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(line, "text", F.lit(" And these words close them all, without exception.")).alias("t"))
+    return link_texts(docs, "doc_id", "t", docs.select(F.col("doc_id").alias("other_id"), F.substring("t", 1, 150).alias("t")), "other_id", "t")
 
 
 @register("""

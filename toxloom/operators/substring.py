@@ -3,6 +3,10 @@
 A text that lies inside another brings its grams along. So every contained side ("needle") gives up one gram as its
 anchor, the containing side ("hay") lists its grams, an equi join on the gram finds candidates and `contains`
 settles them. Grams that start at a word start are preferred: they are six times fewer than all grams.
+
+An anchor should be rare on both sides. Grams that many containing texts hold, such as those of a line they all share, are found by a
+mergeable frequency sketch over a part of them and avoided. A needle that has no other grams gives a phrase, two grams and the words
+between them, which tells where lines that are common each meet. All this decides the number of candidates, never the links.
 """
 
 from __future__ import annotations
@@ -21,6 +25,12 @@ OFFERED = 32
 ANCHOR_BYTES = 96  # of an anchor in a hash table: a hash, an id of sixteen bytes, a length, and the row's own
 SMALL_ANCHORS = (96 << 20) // ANCHOR_BYTES  # counted anchors, over all classes, that may be broadcast
 
+SKETCHED = 16       # one containing text in so many is sketched, where there are more than FULLY
+FULLY = 1 << 14
+HEAVY = 4096        # grams that the sketch gives at most; it tracks 16 times as many
+HEAVY_SHARE = 0.01  # of the sketched texts that hold a gram to be avoided
+PHRASE = 4          # words between the two grams of a phrase
+
 # (starts after a blank, length), in order of preference. The last one fits every text.
 CLASSES = [(True, 16), (True, 8), (False, 6), (False, 2), (False, 1), (False, 0)]
 
@@ -66,18 +76,37 @@ def _first_anchors(needles: DataFrame) -> DataFrame:
     return needles.select("id", "text", F.xxhash64(first).alias("gram"))
 
 
-def _rare_anchors(needles: DataFrame) -> DataFrame:
-    """One anchor per needle: of its grams the one fewest needles share, so common phrases do not pair everything.
+def _rare_anchors(needles: DataFrame, grams: Column | None = None, heavy: list[int] | None = None) -> DataFrame:
+    """(id, gram, common): one anchor per needle. Of its grams outside `heavy` the one fewest needles share, so common phrases do not
+    pair everything; `common` is true where all its grams are heavy.
 
     Any gram of a needle is an exact anchor, so a long text only offers the `OFFERED` grams of lowest hash.
     The counts come out of an explode, which Spark's size estimate does not see, so the join is told not to
     broadcast them.
     """
-    hashes = F.array_sort(F.transform(_needle_grams(F.col("text")), lambda g: F.xxhash64(g)))
-    grams = needles.select("id", each(F.slice(hashes, 1, OFFERED)).alias("gram"))
-    counts = grams.groupBy("gram").agg(F.count("*").alias("n"))
-    ranked = lookup_join(grams, counts.hint("merge"), "gram", "inner", ["id"])
-    return ranked.groupBy("id").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    hashes = F.array_sort(F.transform(_needle_grams(F.col("text")) if grams is None else grams, lambda g: F.xxhash64(g)))
+    keyed = needles.select("id", hashes.alias("all"))
+    rare = F.array_except("all", F.array(*[F.lit(h).cast("bigint") for h in heavy])) if heavy else F.col("all")
+    keyed = keyed.select("id", "all", rare.alias("rare"))
+    offered = F.when(F.size("rare") > 0, F.col("rare")).otherwise(F.col("all"))
+    one = keyed.select("id", (F.size("rare") == 0).alias("common"), each(F.slice(offered, 1, OFFERED)).alias("gram"))
+    counts = one.groupBy("gram").agg(F.count("*").alias("n"))
+    ranked = lookup_join(one, counts.hint("merge"), "gram", "inner", ["id"])
+    return ranked.groupBy("id").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.any_value("common").alias("common"))
+
+
+def _heavy(hay: DataFrame, kinds: list[tuple[bool, int]]) -> list[int]:
+    """Hashes of the grams that many containing texts hold, `HEAVY` at most. Where there are many texts a fixed part of them tells."""
+    part, n = hay.select(F.xxhash64("text").alias("h"), "text"), hay.count()
+    if n > FULLY:
+        part, n = part.where(F.pmod("h", F.lit(SKETCHED)) == 0), n / SKETCHED
+    top = _hay_grams(part, kinds, "h").agg(F.expr(f"approx_top_k(gram, {HEAVY}, {16 * HEAVY})").alias("top")).first()["top"]
+    return [t["item"] for t in top or [] if t["count"] > max(2, HEAVY_SHARE * n)]
+
+
+def _phrases(text: Column) -> Column:
+    """From a word start over `PHRASE` words to a gram behind them."""
+    return F.regexp_extract_all(text, F.lit(f"(?s) (?=((?:[^ ]* ){{{PHRASE}}}.{{16}}))"), F.lit(1))
 
 
 def _side(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -98,9 +127,10 @@ def _is_small(texts: DataFrame) -> bool:
 
 def _links_small(left: DataFrame, right: DataFrame) -> DataFrame:
     """The right side is within `SMALL_CHARS`: the left side is never shuffled."""
-    anchors = _rare_anchors(right).join(right, "id")  # one row per right row
+    kinds = list(_kinds_of(right)) or CLASSES[-1:]
+    anchors = _rare_anchors(right, heavy=_heavy(left, kinds)).drop("common").join(right, "id")  # one row per right row
     down = (
-        _hay_grams(left, list(_kinds_of(right)) or CLASSES[-1:], "id", "text")
+        _hay_grams(left, kinds, "id", "text")
         .join(F.broadcast(anchors.select(F.col("id").alias("r"), F.col("text").alias("needle"), "gram")), "gram")
         .where(F.contains("text", "needle"))
         .select(F.col("id").alias("l"), "r")
@@ -118,57 +148,67 @@ def _links_small(left: DataFrame, right: DataFrame) -> DataFrame:
     return down.unionByName(up)
 
 
-def _contained(hay: DataFrame, needles: DataFrame, small: int) -> DataFrame:
-    """(hay id, needle id) where hay contains needle; both sides may be of any size. Texts are distinct.
+def _candidates(hay: DataFrame, needles: DataFrame, small: int) -> DataFrame:
+    """(hay id, needle id) of texts that share the needle's anchor; every pair of which hay contains needle is among them.
 
     Anchors of the rarest classes, up to `small` in all, are broadcast and meet the grams where those arise; the
-    grams of other classes shuffle. Only ids and lengths travel; texts join back for the final check.
+    grams of other classes shuffle. Only ids and lengths travel.
     """
     needles = needles.where(F.length("text") <= _longest(hay))
+    kinds = _kinds_of(needles)
+    if not kinds:
+        return hay.select(F.col("id").alias("h"), F.col("id").alias("n")).limit(0)
     keyed = needles.withColumns({"kind": _kind(F.col("text")), "n_len": F.length("text")})
-    anchors = _rare_anchors(needles).join(keyed.select("id", "kind", "n_len").hint("merge"), "id")
-    anchors = anchors.withColumnRenamed("id", "n")
+    heavy = _heavy(hay, list(kinds))
+    anchors = _rare_anchors(needles, heavy=heavy).join(keyed.select("id", "kind", "n_len").hint("merge"), "id")
     hay_sized = hay.select(F.col("id").alias("h"), "text", F.length("text").alias("h_len"))
-    kinds = _kinds_of(needles)
+    found = []
+
+    def meet(grams: DataFrame, own: DataFrame, few: bool) -> None:
+        own = own.select(F.col("id").alias("n"), "gram", "n_len")
+        hits = lookup_join(grams, F.broadcast(own) if few else own.hint("merge"), "gram", "inner", ["h"])
+        found.append(hits.where(F.col("n_len") <= F.col("h_len")).select("h", "n"))
+
+    if heavy:
+        anchors = staged(anchors, "anchors")
+        worded = keyed.join(anchors.where("common").select("id"), "id", "left_semi").where(F.size(_phrases(F.col("text"))) > 0)
+        phrased = staged(_rare_anchors(worded, F.array_distinct(_phrases(F.col("text")))).join(keyed.select("id", "n_len").hint("merge"), "id"), "phrases")
+        n = phrased.count()
+        if n:
+            anchors = anchors.join(phrased.select("id"), "id", "left_anti")
+            grams = hay_sized.select("h", "h_len", each(F.array_distinct(_phrases(F.col("text")))).alias("gram")).where(F.col("gram").isNotNull())
+            meet(grams.select("h", "h_len", F.xxhash64("gram").alias("gram")), phrased, n <= small)
     few, total = [], 0
     for k, n in sorted(kinds.items(), key=lambda x: x[1]):
         total += n
         if total <= small:
             few.append(k)
-    many = [k for k in kinds if k not in few]
-    found = []
-    for group in (few, many):
+    for group in (few, [k for k in kinds if k not in few]):
         if group:
-            own = anchors.where(F.col("kind").isin([CLASSES.index(k) for k in group])).drop("kind")
-            own = F.broadcast(own) if group is few else own.hint("merge")
-            grams = _hay_grams(hay_sized, group, "h", "h_len")
-            hits = lookup_join(grams, own, "gram", "inner", ["h"])
-            found.append(hits.where(F.col("n_len") <= F.col("h_len")).select("h", "n"))
-    if not found:
-        return hay.select(F.col("id").alias("h"), F.col("id").alias("n")).limit(0)
-    candidates = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+            meet(_hay_grams(hay_sized, group, "h", "h_len"), anchors.where(F.col("kind").isin([CLASSES.index(k) for k in group])), group is few)
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _contained(hay: DataFrame, needles: DataFrame, small: int) -> DataFrame:
+    """(hay id, needle id) where hay contains needle; both sides may be of any size. Texts are distinct."""
     needle_texts = needles.select(F.col("id").alias("n"), F.col("text").alias("needle"))
-    checked = lookup_join(candidates.hint("merge"), needle_texts, "n", "inner", ["h"])
+    checked = lookup_join(_candidates(hay, needles, small).hint("merge"), needle_texts, "n", "inner", ["h"])
     checked = lookup_join(checked.hint("merge"), hay.select(F.col("id").alias("h"), "text"), "h", "inner", ["n"])
     return checked.where(F.contains("text", "needle")).select("h", "n")
 
 
-def _links_large(left: DataFrame, right: DataFrame, small: int) -> DataFrame:
-    """Copies of a text count once until the links are known, then ids are put back.
-
-    The distinct texts are read several times, so they are written once.
-    """
+def _distinct_texts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(id, t) of the rows, and the distinct texts by t. They are read several times, so they are written once."""
+    rows = df.withColumn("t", F.substring(F.unhex(F.sha2("text", 256)), 1, 16))  # 128 bits name a text
+    texts = rows.groupBy(F.col("t").alias("id")).agg(F.any_value("text").alias("text"))
+    return rows.select("id", "t"), staged(texts, "texts")
 
-    def keyed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        rows = df.withColumn("t", F.substring(F.unhex(F.sha2("text", 256)), 1, 16))  # 128 bits name a text
-        texts = rows.groupBy(F.col("t").alias("id")).agg(F.any_value("text").alias("text"))
-        return rows.select("id", "t"), staged(texts, "texts")
 
-    left_ids, left_texts = keyed(left)
-    right_ids, right_texts = keyed(right)
-    down = _contained(left_texts, right_texts, small).select(F.col("h").alias("lt"), F.col("n").alias("rt"))
-    up = _contained(right_texts, left_texts, small).select(F.col("n").alias("lt"), F.col("h").alias("rt"))
-    links = down.unionByName(up.where(F.col("lt") != F.col("rt")))
+def _ids_back(left_ids: DataFrame, right_ids: DataFrame, links: DataFrame) -> DataFrame:
+    """(l, r) of links between texts (lt, rt)."""
     lefts = lookup_join(left_ids.select(F.col("id").alias("l"), F.col("t").alias("lt")), links, "lt", "inner", ["l"])
     both = lookup_join(
         lefts.select("l", "rt"), right_ids.select(F.col("id").alias("r"), F.col("t").alias("rt")), "rt", "inner", ["l"]
@@ -176,6 +216,28 @@ def _links_large(left: DataFrame, right: DataFrame, small: int) -> DataFrame:
     return both.select("l", "r")
 
 
+def _links_large(left: DataFrame, right: DataFrame, small: int) -> DataFrame:
+    """Copies of a text count once until the links are known, then ids are put back."""
+    left_ids, left_texts = _distinct_texts(left)
+    right_ids, right_texts = _distinct_texts(right)
+    down = _contained(left_texts, right_texts, small).select(F.col("h").alias("lt"), F.col("n").alias("rt"))
+    up = _contained(right_texts, left_texts, small).select(F.col("n").alias("lt"), F.col("h").alias("rt"))
+    links = down.unionByName(up.where(F.col("lt") != F.col("rt")))
+    return _ids_back(left_ids, right_ids, links)
+
+
+def substring_self_link(df: DataFrame, key: str, text: str, other: str, small_anchors: int | None = None) -> DataFrame:
+    """(key, other) of all pairs of a table's rows where either text contains the other, each row with itself too.
+
+    One direction is searched; the other is its mirror image. Keys are unique, null texts never match.
+    """
+    ids, texts = _distinct_texts(_side(df, key, text))
+    found = staged(_contained(texts, texts, SMALL_ANCHORS if small_anchors is None else small_anchors), "links")
+    down = found.select(F.col("h").alias("lt"), F.col("n").alias("rt"))
+    up = found.where(F.col("h") != F.col("n")).select(F.col("n").alias("lt"), F.col("h").alias("rt"))
+    return _ids_back(ids, ids, down.unionByName(up)).select(F.col("l").alias(key), F.col("r").alias(other))
+
+
 def substring_link(
     left: DataFrame, left_key: str, left_text: str, right: DataFrame, right_key: str, right_text: str,
     small_anchors: int | None = None,
