@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from toxloom.functions import cells as C
 from toxloom.operators import graph as G
 from toxloom.operators import joins as J
+from toxloom.operators import order_index as X
 from toxloom.operators import ordering as O
 from toxloom.operators import unnest as U
 from toxloom.operators.substring import substring_link as link_texts
@@ -636,6 +637,19 @@ def page_deep(spark, sf_dir):
     return O.page(table(spark, sf_dir, "lineitem").select(*order), order, 4000, 1000, top_rows=0)
 
 
+@register("""
+    WITH o AS (SELECT l_returnflag, l_orderkey, l_partkey, l_suppkey, l_extendedprice, row_number() OVER (ORDER BY l_returnflag, l_orderkey, l_partkey, l_suppkey, l_extendedprice) - 1 AS place
+      FROM (SELECT l_returnflag, l_orderkey, l_partkey, l_suppkey, l_extendedprice FROM lineitem))
+    SELECT * FROM o WHERE place >= 4000 AND place < 5000 OR place >= 5600 AND place < 6400""")
+def page_indexed(spark, sf_dir):
+    """An order is stored once; then a deep page and, after two tokens, a later one read the files that hold them."""
+    order = ["l_returnflag", "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice"]
+    index = X.build_order(table(spark, sf_dir, "lineitem").select(*order), order, work_folder(spark, "order"))
+    page = X.stored_page(index, 4000, 1000)
+    skipped = X.page_after(index, X.token_of(index, page), 600)
+    return page.unionByName(X.page_after(index, X.token_of(index, skipped), 800)).withColumnRenamed(X.PLACE, "place")
+
+
 @register("SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderstatus, o_orderkey OFFSET 33 LIMIT 1")
 def row_at(spark, sf_dir):
     return O.row_at(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), ["o_orderstatus", "o_orderkey"], 33)
