@@ -849,6 +849,12 @@ def workbook_scan(spark, sf_dir):
     return scanned(W.read_workbooks(spark, stored_workbooks(spark, sf_dir)))
 
 
+@register(SCAN_SQL)
+def workbook_scan_parts(spark, sf_dir):
+    """The same files as if they were large: cut into parts that other tasks decode, shared texts joined."""
+    return scanned(W.read_workbooks(spark, stored_workbooks(spark, sf_dir), SCAN_HEADS, large=0))
+
+
 @register(f"SELECT * FROM ({SCAN_SQL}) WHERE block % 3 = 0 AND block % 5 <> 4")
 def workbook_scan_flat(spark, sf_dir):
     """Only the `.xlsx` files of the folder itself."""
@@ -975,7 +981,7 @@ GOOD_SQL = "lineitem JOIN part ON l_partkey = p_partkey WHERE p_size NOT IN (7,
       CASE WHEN l_linestatus <> 'O' THEN l_orderkey::DOUBLE END AS "AC50", NULL::DOUBLE AS "BMD",
       l_suppkey || ' ' || l_orderkey AS "EVENT" FROM {GOOD_SQL}""")
 def bioactivity_load(spark, sf_dir):
-    good, _ = bio_plan.load_bioactivity(bioactivity_rows(spark, sf_dir), bioactivity_titles(spark, sf_dir))
+    good, _ = bio_plan.load_bioactivity(bioactivity_rows(spark, sf_dir), bioactivity_titles(spark, sf_dir), stage=False)
     return good.select("TITLE", "DTXSID", "NAME", "AC50", "BMD", "EVENT")
 
 
@@ -984,7 +990,7 @@ def bioactivity_load(spark, sf_dir):
       CASE WHEN p_brand = 'Brand#5' THEN 'no id for title' WHEN p_size = 9 THEN 'missing column BMD' ELSE 'text in a number column' END AS reason
     FROM part WHERE (p_brand = 'Brand#5' OR p_size IN (7, 9)) AND p_partkey IN (SELECT l_partkey FROM lineitem)""")
 def bioactivity_rejects(spark, sf_dir):
-    _, rejects = bio_plan.load_bioactivity(bioactivity_rows(spark, sf_dir), bioactivity_titles(spark, sf_dir))
+    _, rejects = bio_plan.load_bioactivity(bioactivity_rows(spark, sf_dir), bioactivity_titles(spark, sf_dir), stage=False)
     return rejects.select("path", "reason")
 
 

@@ -87,7 +87,9 @@ def int_id(c: Column) -> Column:
     text = c.cast("string")
     value = number(text)
     other = F.when((value >= -(2.0**63)) & (value < 2.0**63), value.try_cast("bigint"))
-    return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.try_cast("bigint")).otherwise(other)
+    # Nearly all texts are of the first kind: one pattern, no floating point.
+    short = F.when(text.rlike(r"^\s*[+-]?[0-9]{1,15}(?:\.0*)?\s*$"), F.substring_index(text, ".", 1).try_cast("bigint"))
+    return short.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.try_cast("bigint")).otherwise(other)
 
 
 def is_digits(c: Column) -> Column:

@@ -18,41 +18,42 @@ from toxloom.schemas import BIOACTIVITY_COLUMNS, NUMBER_COLUMNS, SHEET_COLUMNS
 from toxloom.session import staged
 
 
-def _reason(numbers: Sequence[str]) -> Column:
-    """Why a row makes its file unfit, or null."""
+def _fault(numbers: Sequence[str]) -> Column:
+    """Why a row that was read makes its file unfit, or null."""
     bad_number = F.lit(False)
     for c in numbers:
         bad_number = bad_number | (named(c).isNotNull() & ~is_number(named(c)))
     return (
-        F.when(F.col("error").isNotNull(), F.col("error"))
-        .when(F.col("DTXSID").isNull(), "no id for title")
-        .when(F.size("absent") > 0, F.concat(F.lit("missing column "), F.array_join("absent", ", ")))
+        F.when(F.size("absent") > 0, F.concat(F.lit("missing column "), F.array_join("absent", ", ")))
         .when(F.size("extra") > 0, F.concat(F.lit("unknown column "), F.array_join("extra", ", ")))
         .when(bad_number, "text in a number column")
     )
 
 
-def load_bioactivity(rows: DataFrame, titles: DataFrame) -> tuple[DataFrame, DataFrame]:
+def load_bioactivity(rows: DataFrame, titles: DataFrame, stage: bool = True) -> tuple[DataFrame, DataFrame]:
     """(good, rejects) from decoded workbooks.
 
     A file loads as a whole or not at all. Files with a problem, those without rows included, become one reject row
-    each, with the reason, and their rows are kept out. Good rows keep `path` and `row`. The checked rows are written
-    once, as they feed both outputs; rejected paths are counted, and broadcast where they are few.
+    each, with the reason, and their rows are kept out. Good rows keep `path` and `row`.
+
+    Files are judged by a narrow pass over their rows, and it is files that meet the titles. Then the rows meet the good
+    files, broadcast where those are few. `stage` writes the rows once, as decoding twice costs more; pass False for rows that are stored already.
     """
-    keyed = rows.withColumn("TITLE", bioactivity_title(F.col("file")))
-    keyed = attach_dtxsid(keyed, titles.select(F.col("title"), F.col("dtxsid").alias("dtxsid")), "TITLE", ["path", "row"])
-    cleaned = null_sentinel(keyed.withColumnRenamed("dtxsid", "DTXSID"), NUMBER_COLUMNS)
-    checked = staged(cleaned.withColumn("_reason", _reason(NUMBER_COLUMNS)), "checked")
-    rejects = staged(
-        checked.where(F.col("_reason").isNotNull()).groupBy("path")
-        .agg(F.min("file").alias("file"), F.min("_reason").alias("reason")), "rejects",
+    rows = null_sentinel(staged(rows, "decoded") if stage else rows, NUMBER_COLUMNS)
+    read = F.col("error").isNull()
+    judged = rows.groupBy("path").agg(
+        F.min("file").alias("file"), F.min("error").alias("_error"), F.max(read).alias("_read"), F.min(F.when(read, _fault(NUMBER_COLUMNS))).alias("_fault"),
     )
-    flagged = join_few(checked, rejects.select("path", F.lit(True).alias("_rejected")), "path", "left", ["row"])
+    judged = attach_dtxsid(judged.withColumn("TITLE", bioactivity_title(F.col("file"))), titles.select("title", "dtxsid"), "TITLE", ["path"])
+    fault = F.when(F.col("dtxsid").isNotNull(), F.col("_fault")).when(F.col("_read"), "no id for title")
+    files = staged(judged.select("path", "file", "TITLE", F.col("dtxsid").alias("DTXSID"), F.least("_error", fault).alias("reason")), "files")
+    rejects = files.where(F.col("reason").isNotNull()).select("path", "file", "reason")
+    fit = files.where(F.col("reason").isNull()).select("path", "TITLE", "DTXSID")
     typed = [
         (number(named(c)) if c in NUMBER_COLUMNS else named(c)).alias(c) for c in BIOACTIVITY_COLUMNS
     ]
-    good = flagged.where(F.col("_rejected").isNull() & F.col("row").isNotNull()).select("path", "row", *typed)
-    return good, rejects
+    own = rows.drop("TITLE", "DTXSID").where(F.col("row").isNotNull())
+    return join_few(own, fit, "path", "inner", ["row"]).select("path", "row", *typed), rejects
 
 
 def with_ids(good: DataFrame, stored: DataFrame | None = None, origin: bool = False) -> DataFrame:

@@ -25,17 +25,17 @@ WIDEST = 16_384  # columns of a sheet
 DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
 
 
-def _parts(book: zipfile.ZipFile) -> tuple[str, list[str], set[int]]:
-    """Path of the first sheet, shared texts, and the style numbers that mean a date."""
+def _parts(book: zipfile.ZipFile, texts: bool = True) -> tuple[str, list[str], set[int]]:
+    """Path of the first sheet, shared texts (if asked for), and the style numbers that mean a date."""
     names = set(book.namelist())
     first = ElementTree.fromstring(book.read("xl/workbook.xml")).find(f"{SHEET}sheets/{SHEET}sheet")
     links = ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
     target = next(r.get("Target") for r in links if r.get("Id") == first.get(f"{RELATION}id"))
     sheet = target.lstrip("/") if target.startswith("/") else f"xl/{target}"
-    texts: list[str] = []
-    if "xl/sharedStrings.xml" in names:
+    shared: list[str] = []
+    if texts and "xl/sharedStrings.xml" in names:
         for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml")).findall(f"{SHEET}si"):
-            texts.append(_rich_text(item))
+            shared.append(_rich_text(item))
     dates: set[int] = set()
     if "xl/styles.xml" in names:
         styles = ElementTree.fromstring(book.read("xl/styles.xml"))
@@ -47,7 +47,7 @@ def _parts(book: zipfile.ZipFile) -> tuple[str, list[str], set[int]]:
             code = int(style.get("numFmtId", 0))
             if re.search("[dmhysDMHYS]", own[code]) if code in own else code in DATE_FORMATS:
                 dates.add(i)
-    return sheet, texts, dates
+    return sheet, shared, dates
 
 
 def _rich_text(item: ElementTree.Element) -> str:
@@ -137,7 +137,7 @@ def _files(spark: SparkSession, folder: str, recursive: bool, glob: str | None)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(folder).select("path", "content")
+    return reader.load(folder).select("path", "content", "length")
 
 
 def workbook_columns(files: DataFrame, most: int = WIDEST) -> list[str]:
@@ -229,15 +229,23 @@ def decode_workbooks(
 
 def read_workbooks(
     spark: SparkSession, folder: str, columns: Sequence[str] | None = None, recursive: bool = True,
-    glob: str | None = None, missing_texts: bool = True,
+    glob: str | None = None, missing_texts: bool = True, large: int | None = None,
 ) -> DataFrame:
     """First sheet of every workbook below `folder`, first row as header.
 
+    Files of `large` bytes or more are decoded in parts, by many tasks each.
+
     Name the columns whenever they are known: cells of other columns are then never decoded into rows, and the
     extra pass over the headers is saved.
     """
     files = _files(spark, folder, recursive, glob)
-    return decode_workbooks(files, columns if columns is not None else workbook_columns(files), missing_texts)
+    columns = columns if columns is not None else workbook_columns(files)
+    if large is None:
+        return decode_workbooks(files, columns, missing_texts)
+    from toxloom.sources.large_workbooks import decode_large_workbooks
+
+    size = F.col("length") >= large
+    return decode_workbooks(files.where(~size), columns, missing_texts).unionByName(decode_large_workbooks(files.where(size), columns, missing_texts))
 
 
 def failed_files(rows: DataFrame) -> DataFrame:
