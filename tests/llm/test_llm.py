@@ -471,3 +471,14 @@ def test_the_pipeline_imports_without_a_session():
 
     root = Path(__file__).resolve().parents[2]
     subprocess.run([sys.executable, "-c", "import corpus_pipeline, toxloom.llm.queries"], cwd=root, check=True)
+
+
+def test_long_runs_of_one_kind(spark):
+    """A million blanks, line feeds, letters or digits in one text."""
+    texts = [" " * 1_000_000, "\n" * 1_000_000, "ab " + " \n\t" * 300_000 + " cd", "x" * 1_000_000, "7" * 1_000_000, "!" * 1_000_000, "ab" * 500_000 + " " * 9_999 + "z"]
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for t in texts:
+        assert packing.encode("byte_bpe_50k", t) == own.encode(t, add_special_tokens=False).ids
+    got = packing.pack_documents(spark.createDataFrame(list(enumerate(texts[:2])), "doc_id bigint, text string"))
+    sizes = {r["doc_id"]: r["n"] for r in got.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert sizes == {0: 1_000_001, 1: 500_001}
