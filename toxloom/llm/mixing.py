@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from toxloom.llm.words import mix, raw, slices, words
 from toxloom.session import staged
 
-BLOCK = 128        # words
+BLOCK = 128        # words; sources with fewer than BLOCK * FINE have shorter ones
+FINE = 256         # blocks that a source has at least, where it has so many words
 SHARD = 1024       # slots of an output shard
 DEAL = 64          # shards that are dealt together, so that their totals are exact
 LANE = 4096        # rows of a source that one task numbers
@@ -111,33 +112,36 @@ class Mix:
         spark = docs.sparkSession
         n = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
         named = [F.col(c).alias(f"c{i}") for i, c in enumerate(columns)]
-        sized = docs.select(F.col(source).alias("source"), n.alias("size"), F.struct(*named).alias("row"), *([F.col(text).alias("text")] if keep_text else []))
+        # Rows are placed by what they hold, not by where they lie, so that a run on other cores or files mixes the same words.
+        # Rows that are equal in all of it are interchangeable.
+        same = F.xxhash64(F.struct(*named), F.col(text), F.lit(seed)).alias("same")
+        sized = docs.select(F.col(source).alias("source"), n.alias("size"), F.struct(*named).alias("row"), same, *([F.col(text).alias("text")] if keep_text else []))
         sized = staged(sized.withColumn("uid", F.monotonically_increasing_id()), "sizes")
         lanes = -(-sized.count() // LANE)
-        lane = F.pmod(F.xxhash64("row", "uid", F.lit(seed)), F.lit(max(1, lanes)))
-        rows = sized.select("source", "size", "row", "uid", lane.alias("lane"))
+        rows = sized.select("source", "size", "row", "uid", "same", F.pmod("same", F.lit(max(1, lanes))).alias("lane"))
         totals = staged(rows.groupBy("source", "lane").agg(F.sum("size").alias("n")), "lanes")
         sizes = totals.groupBy("source").agg(F.sum("n").alias("source_size"))
         no = F.row_number().over(Window.orderBy(F.col("source").isNull(), "source")).cast("int")
-        blocks = F.ceil(F.col("source_size") / block)
+        length = F.least(F.lit(block), F.greatest(F.lit(1), F.floor(F.col("source_size") / FINE))).cast("bigint")
+        blocks = F.ceil(F.col("source_size") / F.col("block"))
         quota = F.when(F.col("source_size") > 0, F.round(blocks * F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint")
-        self.sources = staged(source_targets(sizes, weights).select("*", no.alias("source_no"), blocks.alias("blocks"), quota.alias("quota")), "sources")
+        self.sources = staged(source_targets(sizes, weights).withColumn("block", length).select("*", no.alias("source_no"), blocks.alias("blocks"), quota.alias("quota")), "sources")
         before = F.sum("n").over(Window.partitionBy("source").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1))
         starts = totals.select("source", "lane", F.coalesce(before, F.lit(0)).alias("lane_start"))
-        starts = starts.alias("a").join(self.sources.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.*", "b.source_no")
-        inside = F.sum("size").over(Window.partitionBy("source", "lane").orderBy("row", "uid").rowsBetween(Window.unboundedPreceding, -1))
+        starts = starts.alias("a").join(self.sources.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.*", "b.source_no", F.col("b.block").alias("length"))
+        inside = F.sum("size").over(Window.partitionBy("source", "lane").orderBy("row", "same", "size", "uid").rowsBetween(Window.unboundedPreceding, -1))
         placed = rows.withColumn("inside", F.coalesce(inside, F.lit(0))).alias("a").join(
             starts.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.lane") == F.col("b.lane"))
-        ).select("row", "uid", "size", "source_no", (F.col("lane_start") + F.col("inside")).alias("at"))
-        #: A row per document: row (its columns), size, source_no, and its first word's place in the source.
+        ).select("row", "uid", "size", "source_no", "length", (F.col("lane_start") + F.col("inside")).alias("at"))
+        #: A row per document: row (its columns), size, source_no, its blocks' length, and its first word's place in the source.
         self.placed = staged(placed, "placed")
-        self.block, self.sized, self.columns = block, sized, list(columns)
+        self.sized, self.columns = sized, list(columns)
         total = self.sources.agg(F.sum("quota")).first()[0] or 0
         self.slots = staged(slots(self.sources.where("quota > 0").select("source_no", "blocks", "quota"), max(1, -(-total // (SHARD * DEAL))), seed), "slots")
 
     def spans(self) -> DataFrame:
         """A row per document and block: `lo` and `hi`, the words of the document that stand in the block."""
-        b, at, end = self.block, F.col("at"), F.col("at") + F.col("size")
+        b, at, end = F.col("length"), F.col("at"), F.col("at") + F.col("size")
         per = self.placed.where("size > 0").select("*", F.explode(F.sequence(F.floor(at / b), F.floor((end - 1) / b))).alias("block"))
         return per.select(
             "row", "uid", "source_no", "block",
@@ -190,7 +194,7 @@ def mixture(docs: DataFrame, **options) -> Mix:
 
     The size of a text is its number of words `[^\\x20\\x09-\\x0D]+`; null and empty texts have none and take no part, but keep
     their row. A null source is one source, after all others. Repeated rows are documents of their own. An empty table
-    gives empty parts. Columns that aren't named are ignored. Reruns over the same files agree. A block is drawn at most
-    three times, hence no document is taken more than three times.
+    gives empty parts. Columns that aren't named are ignored. A text of any length is cut where its words cross blocks. Reruns agree, on
+    any number of cores and files. A block is drawn at most three times, hence no document is taken more than three times.
     """
     return Mix(docs, **options)
