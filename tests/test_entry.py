@@ -18,7 +18,8 @@ def test_every_query_has_sql_and_entry_runs(spark):
 
 
 @pytest.mark.parametrize("name", ["unnest_edges", "upsert_last_wins", "merge_props", "explode_zip_longest", "substring_link", "two_loads", "page_store", "append_nodes", "typed_cells", "incremental_load", "wiki_aop_lists", "url_frontier",
-    "workbook_scan_flat", "chemical_export", "bioactivity_file_rejects", "incremental_arrivals", "merge_props_stored", "page_deep"])
+    "workbook_scan_flat", "chemical_export", "bioactivity_file_rejects", "incremental_arrivals", "merge_props_stored", "page_deep", "stored_upsert_partial", "bridge_kept", "wiki_causes_loads", "replaced_workbooks", "range_totals",
+    "workbook_scan_parts", "substring_link_common", "page_indexed", "clean_keys_collide", "page_files"])
 def test_query_equals_sql(spark, name):
     import __spark_entry__ as entry
 
