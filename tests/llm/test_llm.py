@@ -265,9 +265,9 @@ def test_vector_search(spark):
 
 @pytest.mark.parametrize("part", [ngram_trie.PART, 300])
 def test_ngram_trie(spark, docs, corpus, none, monkeypatch, part):
-    monkeypatch.setattr(ngram_trie, "PART", part)  # small ones: the pairs of a common word lie in several parts
-    model = ngram_trie.train(docs.where("doc_id % 3 <> 0"), frequent_share=1e-9, prune=1e-9)
-    assert (len(model.parts) > 4) == (part == 300)
+    monkeypatch.setattr(ngram_trie, "PART", part)  # small ones: the pairs of a word lie in several parts
+    model = ngram_trie.train(docs.where("doc_id % 3 <> 0"))
+    assert (len(model.filled) > 4) == (part == 300)
     got = ngram_trie.score(docs, model, ["doc_id", "kept"]).toPandas()
     assert len(got) == len(corpus)
     learned = [(r[1] or "").encode().lower().split() + [None] for r in corpus if r[0] is not None and r[0] % 3]

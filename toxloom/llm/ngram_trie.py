@@ -1,12 +1,17 @@
 """N-gram language model in an Elias-Fano trie.
 
-Level 1 holds the hashes and counts of all training words, in shards by hash. Levels 2 and 3 hold the n-grams of frequent
-words: for each context a run of successor ids, made one monotone sequence by adding the last value of the run before, with
+Level 1 holds the hashes of all training words, in shards by hash, and the counts of those that occur twice or more, whose
+places are their ids. Levels 2 and 3 hold every n-gram that occurs twice or more, in parts by a hash of its first two words:
+for each context a run of successor ids, made one monotone sequence by adding the last value of the run before, with
 Elias-Fano pointers to the runs, and smoothed log probabilities quantised to 8 bits. Tasks map the levels into memory. A
 query looks for the successor of its word relative to its context.
 
 Probabilities are interpolated: an n-gram's count less a discount, and the mass that is left times the shorter context's
-probability. Word probabilities are (c + 1) / (N + V + 1). What thresholds leave out stays in the shorter contexts' mass.
+probability. Word probabilities are (c + 1) / (N + V + 1). What occurs once stays in the shorter contexts' mass. No threshold
+depends on the size of the corpus.
+
+N-grams are counted in blocks: a task deals its distinct pairs of words, each with its distinct third words, to the parts as
+packed arrays, and a part merges those of all tasks.
 """
 
 from __future__ import annotations
@@ -21,16 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from toxloom.llm.elias_fano import EliasFano, mapped, save
-from toxloom.llm.words import Words, once, raw, slices, words
+from toxloom.llm.words import Words, mix, once, raw, slices, trim, words
 from toxloom.session import staged, work_folder
 
 END = np.uint64(0xE0D0F7E875)  # stands for the end of a text
-FREQUENT = 1e-6   # share of all tokens from which a word takes part in longer n-grams: so at most 1 / FREQUENT words
-PRUNE = 4e-8      # an n-gram is kept from sqrt(PRUNE * tokens) occurrences, and two at least: the levels grow with the root of the corpus
+TWICE = 2         # occurrences from which an n-gram is kept; one of which a part occurs once can't occur twice
 DISCOUNT = 0.5
 SHARD = 1 << 20   # words of a shard of level 1, about
-PART = 1 << 19    # n-grams of a part of levels 2 and 3, about
-HELD = 1 << 19    # distinct keys that a task counts before it passes them on
+PART = 1 << 22    # training tokens of a part of levels 2 and 3, about
+CHUNK = 1 << 20   # pairs of words that a task holds before it passes their counts on
+HELD = 1 << 19    # distinct words that a task counts before it passes them on
 
 
 class Model(NamedTuple):
@@ -39,9 +44,10 @@ class Model(NamedTuple):
     types: int              # V
     bits: int               # level 1 has 2**bits shards
     shards: list[int]       # those that have words
-    frequent: np.ndarray    # sorted hashes
-    borders: np.ndarray     # first pair of words of each part of levels 2 and 3 but the first
-    parts: list[int]        # those that have n-grams
+    base: list[int]         # first id of each of them
+    ids: int                # words that have one
+    parts: int              # of levels 2 and 3
+    filled: list[int]       # those that have n-grams
 
 
 def sequence(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -73,15 +79,8 @@ def tallies(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.Recor
         yield batch(*merged(held))
 
 
-def frequent_ids(frequent: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    if not len(frequent):
-        return np.full(len(hashes), -1)
-    at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-    return np.where(frequent[at] == hashes, at, -1)
-
-
 def chains(ids: np.ndarray, text: np.ndarray, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(places of the last words of runs of `order` frequent words inside a text, ids of the run's words)."""
+    """(places of the last words of runs of `order` words with ids inside a text, ids of the run's words)."""
     n = len(ids)
     at = np.arange(order - 1, n)
     ok = text[at] == text[at - order + 1]
@@ -91,9 +90,71 @@ def chains(ids: np.ndarray, text: np.ndarray, order: int) -> tuple[np.ndarray, l
     return at, [ids[at - j] for j in range(order - 1, -1, -1)]
 
 
-def first_context(borders: np.ndarray, part: int, f: int) -> int:
-    """The first word that begins pairs of a part."""
-    return int(borders[part - 1]) // f if part else 0
+def part_of(pair: np.ndarray, parts: int) -> np.ndarray:
+    return (mix(pair.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Whole numbers from 0, byte by byte: leading bytes that are zero everywhere are left out, and other planes compress."""
+    out = []
+    for a in arrays:
+        a = np.ascontiguousarray(a, np.uint64)
+        width = -(-int(a.max()).bit_length() // 8) if len(a) else 0
+        out += [len(a).to_bytes(8, "little"), bytes([width]), a.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()]
+    return b"".join(out)
+
+
+def unpack(block: bytes) -> list[np.ndarray]:
+    out, at = [], 0
+    while at < len(block):
+        n, width = int.from_bytes(block[at:at + 8], "little"), block[at + 8]
+        a = np.zeros((n, 8), np.uint8)
+        a[:, :width] = np.frombuffer(block, np.uint8, n * width, at + 9).reshape(width, n).T
+        out.append(a.view(np.int64).ravel())
+        at += 9 + n * width
+    return out
+
+
+def blocks(held: list[tuple[np.ndarray, np.ndarray]], ids: int, parts: int) -> Iterator[tuple[int, bytes]]:
+    """(part, counts) of pairs of words and the ids after them (-1: none).
+
+    Counts are: steps between the distinct pairs in order, occurrences of each, number of distinct third words of each, those
+    in order, occurrences of each.
+    """
+    pair, inverse = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
+    third = np.concatenate([t for _, t in held])
+    some = third >= 0
+    k3, c3 = np.unique(inverse[some] * ids + third[some], return_counts=True)
+    c2 = np.bincount(inverse, minlength=len(pair))
+    node = k3 // ids
+    n3, deal = np.bincount(node, minlength=len(pair)), part_of(pair, parts)
+    order, order3 = np.argsort(deal, kind="stable"), np.argsort(deal[node], kind="stable")
+    cut, cut3 = (np.concatenate(([0], np.cumsum(np.bincount(x, minlength=parts)))) for x in (deal, deal[node]))
+    for p in np.flatnonzero(np.diff(cut)).tolist():
+        two, three = order[cut[p]:cut[p + 1]], order3[cut3[p]:cut3[p + 1]]
+        yield p, pack(np.diff(pair[two], prepend=0), c2[two], n3[two], k3[three] % ids, c3[three])
+
+
+def merge(some: Sequence[bytes], ids: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, their counts, place of each triple's pair, its third word, its count) of what occurs twice or more in all blocks."""
+    pairs, c2, n3, third, c3 = ([] for _ in range(5))
+    for block in some:
+        step, own2, own, w, own3 = unpack(block)
+        pairs.append(np.cumsum(step)), c2.append(own2.astype(np.uint32)), n3.append(own.astype(np.uint32))
+        third.append(w), c3.append(own3.astype(np.uint32))
+    pair, inverse = np.unique(np.concatenate(pairs), return_inverse=True)
+    del pairs
+    count = np.bincount(inverse, np.concatenate(c2), len(pair)).astype(np.int64)
+    kept = count >= TWICE
+    node = np.where(kept, np.cumsum(kept) - 1, -1)[inverse]
+    del inverse
+    node = np.repeat(node, np.concatenate(n3))
+    on = np.flatnonzero(node >= 0)
+    k3, inverse = np.unique(node[on] * ids + np.concatenate(third)[on], return_inverse=True)
+    del node, third
+    count3 = np.bincount(inverse, np.concatenate(c3)[on], len(k3)).astype(np.int64)
+    k3, count3 = k3[count3 >= TWICE], count3[count3 >= TWICE]
+    return pair[kept], count[kept], k3 // ids, k3 % ids, count3
 
 
 def codebook(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,11 +202,51 @@ class Level:
         return self.centre[self.code[at]]
 
 
-def train(docs: DataFrame, text: str = "text", frequent_share: float = FREQUENT, prune: float = PRUNE) -> Model:
-    """Count, smooth and store a model of order 3 over all rows of `docs`. Null texts count as empty, repeated rows each time.
+class WordLevel:
+    """Queries of level 1."""
 
-    `frequent_share` bounds the words of longer n-grams, `prune` how fast their number grows with the corpus.
-    """
+    def __init__(self, model: Model):
+        self.m, self.base = model, np.array(model.base, np.int64)
+        self.arrays = {s: mapped(model.folder, f"words-{s}") for s in model.shards}
+        self.often = {s: EliasFano(a, "often") for s, a in self.arrays.items()}
+        self.rare = {s: EliasFano(a, "rare") for s, a in self.arrays.items()}
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(id or -1, training count) of distinct words."""
+        bits, ids, count = self.m.bits, np.full(len(hashes), -1), np.zeros(len(hashes), np.int64)
+        shard = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+        for i, s in enumerate(self.m.shards):
+            at = np.flatnonzero(shard == s)
+            own = hashes[at] & np.uint64((1 << (64 - bits)) - 1)
+            place, equal = self.often[s].successor(own, np.zeros(len(at), np.int64), np.full(len(at), self.often[s].n))
+            ids[at[equal]] = place[equal] + self.m.base[i]
+            count[at[equal]] = self.arrays[s]["count"][place[equal]]
+            at, own = at[~equal], own[~equal]
+            place, equal = self.rare[s].successor(own, np.zeros(len(at), np.int64), np.full(len(at), self.rare[s].n))
+            count[at[equal]] = 1
+        return ids, count
+
+    def by_id(self, ids: np.ndarray, name: str, none: float) -> np.ndarray:
+        """A number that level 1 holds for each id: `count`, or the mass `left` to words alone (a file of its own)."""
+        out, which = np.full(len(ids), none), np.searchsorted(self.base, ids, "right") - 1
+        for i in np.unique(which[ids >= 0]).tolist():
+            at = np.flatnonzero((which == i) & (ids >= 0))
+            s = self.m.shards[i]
+            place = ids[at] - self.m.base[i]
+            if name == "count":
+                out[at] = self.arrays[s]["count"][place]
+            else:
+                a = mapped(self.m.folder, f"left-{s}")
+                out[at] = a["left.centre"][a["left.code"][place]]
+        return out
+
+
+def words_of(model: Model) -> WordLevel:
+    return once(("words", model.folder), lambda: WordLevel(model))
+
+
+def train(docs: DataFrame, text: str = "text") -> Model:
+    """Count, smooth and store a model of order 3 over all rows of `docs`. Null texts count as empty, repeated rows each time."""
     spark = docs.sparkSession
     folder = work_folder(spark, "trie")
     if "://" not in folder and not folder.startswith("file:"):
@@ -158,15 +259,6 @@ def train(docs: DataFrame, text: str = "text", frequent_share: float = FREQUENT,
     counts = staged(rows.mapInArrow(count_words, "k bigint, c bigint").groupBy("k").agg(F.sum("c").alias("c")), "words")
     size = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     tokens, types = int(size["n"] or 0), int(size["v"])
-    # At most 1 / frequent_share words come to the driver.
-    often = counts.where(F.col("c") >= max(2.0, frequent_share * tokens)).toPandas()
-    hashes = often["k"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    frequent, frequent_count = hashes[order], often["c"].to_numpy(np.int64)[order]
-    shared = spark.sparkContext.broadcast(frequent)
-    f = max(1, len(frequent))
-    if f**3 >= 1 << 62:
-        raise ValueError("frequent_share is too small: three words don't fit into one key")
 
     # Level 1: shards by the leading bits of the hash.
     bits = max(0, (types // SHARD).bit_length())
@@ -176,157 +268,137 @@ def train(docs: DataFrame, text: str = "text", frequent_share: float = FREQUENT,
         at = np.argsort(key)
         own = key[at] & np.uint64((1 << (64 - bits)) - 1)
         count = pdf["c"].to_numpy(np.int64)[at]
+        often = count >= TWICE
         shard = int(pdf["shard"].iat[0])
-        save(folder, f"words-{shard}", EliasFano.arrays(own, "hash") | {"count": count.astype(np.uint32 if count.max() < 1 << 32 else np.uint64)})
-        return pd.DataFrame({"shard": [shard]})
+        kind = np.uint32 if count.max() < 1 << 32 else np.uint64
+        save(folder, f"words-{shard}", EliasFano.arrays(own[often], "often") | EliasFano.arrays(own[~often], "rare") | {"count": count[often].astype(kind)})
+        return pd.DataFrame({"shard": [shard], "n": [int(often.sum())]})
 
     shard = F.shiftrightunsigned("k", 64 - bits).cast("int") if bits else F.lit(0)
-    shards = counts.withColumn("shard", shard).groupBy("shard").applyInPandas(store_words, "shard int").toPandas()["shard"].tolist()
+    # One row for some million words.
+    shards = counts.withColumn("shard", shard).groupBy("shard").applyInPandas(store_words, "shard int, n bigint").toPandas().sort_values("shard")
+    ends = np.cumsum(shards["n"].to_numpy(np.int64))
+    ids = max(1, int(ends[-1]) if len(ends) else 0)
+    if ids**2 >= 1 << 63:
+        raise ValueError("more than three thousand million words occur twice: two of them don't fit into one key")
+    parts = max(1, -(-tokens // PART))
+    model = Model(folder, tokens, types, bits, shards["shard"].tolist(), [0, *ends[:-1].tolist()][:len(ends)], ids, parts, [])
 
     def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def each():
-            for part in slices(batches):
-                token, own = sequence(words(raw(part)))
-                distinct, inverse = np.unique(token, return_inverse=True)
-                ids = frequent_ids(shared.value, distinct)[inverse]
-                _, (u, v) = chains(ids, own, 2)
-                yield np.unique(u * f + v, return_counts=True)
-                _, (u, v, w) = chains(ids, own, 3)
-                yield np.unique((1 << 62) | ((u * f + v) * f + w), return_counts=True)
-
-        yield from tallies(each())
-
-    least = max(2.0, np.sqrt(prune * tokens))
-    counted = rows.mapInArrow(count_grams, "k bigint, c bigint").groupBy("k").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
-
-    def with_pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            k = batch.column("k").to_numpy()
-            three = k >= 1 << 62
-            pair = np.where(three, (k & ((1 << 62) - 1)) // f, k)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pair), pa.array(np.where(three, -1, pair // f))], names=["k", "c", "pair", "context"])
-
-    grams = staged(counted.mapInArrow(with_pair, "k bigint, c bigint, pair bigint, context bigint"), "grams")
-    # The mass that each word leaves to words alone: at most 1 / frequent_share rows.
-    used = grams.where("context >= 0").groupBy("context").agg(F.sum(F.col("c") - DISCOUNT).alias("used")).toPandas()
-    left = np.ones(f)
-    left[used["context"].to_numpy(np.int64)] -= used["used"].to_numpy(float) / frequent_count[used["context"].to_numpy(np.int64)]
-    centre, code = codebook(np.log10(np.maximum(left, 1e-9)))
-    save(folder, "contexts", {"left1.centre": centre, "left1.code": code})
-    mass = spark.sparkContext.broadcast((frequent_count, left))
-
-    # Parts are ranges of pairs of equal weight, so the pairs of a word that begins many lie in several.
-    n = -(-grams.count() // PART)
-    borders = np.unique(np.array(grams.approxQuantile("pair", [i / n for i in range(1, n)], 0.25 / n) if n > 1 else [], np.int64))
-
-    def with_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part = np.searchsorted(borders, batch.column("pair").to_numpy(), "right")
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), batch.column("k"), batch.column("c")], names=["part", "k", "c"])
+        def batch(held):
+            p, block = zip(*blocks(held, ids, parts))
+            return pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(block, pa.binary())], names=["part", "block"])
+
+        held, size = [], 0
+        for part in slices(batches):
+            token, own = sequence(words(raw(part)))
+            distinct, inverse = np.unique(token, return_inverse=True)
+            found = words_of(model).find(distinct)[0][inverse]
+            at, (u, v) = chains(found, own, 2)
+            after = np.minimum(at + 1, len(found) - 1)
+            held.append((u * ids + v, np.where((after > at) & (own[after] == own[at]), found[after], -1)))
+            size += len(at)
+            if size >= CHUNK:
+                yield batch(held)
+                held, size = [], 0
+        if size:
+            yield batch(held)
 
     def store_grams(pdf: pd.DataFrame) -> pd.DataFrame:
         part = int(pdf["part"].iat[0])
-        k, c = pdf["k"].to_numpy(np.int64), pdf["c"].to_numpy(np.int64)
-        at = np.argsort(k)
-        k, c = k[at], c[at]
-        three = k >= 1 << 62
-        k2, c2, k3, c3 = k[~three], c[~three], k[three] & ((1 << 62) - 1), c[three]
-        begin = first_context(borders, part, f)
-        contexts = (int(borders[part] - 1) if part < len(borders) else f * f - 1) // f - begin + 1
-        every, left1 = mass.value
-        u, v = k2 // f - begin, k2 % f
-        # Level 2: P(v | u).
-        alone = (every[v] + 1) / (tokens + types + 1)
-        p2 = (c2 - DISCOUNT) / every[u + begin] + left1[u + begin] * alone
-        # Level 3, under the nodes of level 2; a kept n-gram's beginning is at least as frequent, so it is kept.
-        node = np.searchsorted(k2, k3 // f)
-        w, middle = k3 % f, (k3 // f) % f
-        left2 = 1 - np.bincount(node, c3 - DISCOUNT, len(k2)) / c2
-        arrays = level(u, v, contexts, "two") | level(node, w, len(k2), "three")
-        for name, x in (("two", np.log10(p2)), ("left2", np.log10(np.maximum(left2, 1e-9)))):
-            arrays[f"{name}.centre"], arrays[f"{name}.code"] = codebook(x)
-        # P(w | u, v) needs P(w | v), which another part may hold: stored is the n-gram's own share.
-        arrays["three.centre"], arrays["three.code"] = codebook(np.log10((c3 - DISCOUNT) / c2[node]) if len(k3) else np.empty(0))
+        pair, c2, node, w, c3 = merge(pdf["block"].tolist(), ids)
+        u, context = np.unique(pair // ids, return_inverse=True)
+        # P(v | u) needs the mass that u leaves, to which other parts add: stored is the n-gram's own share, on both levels.
+        share = (c2 - DISCOUNT) / words_of(model).by_id(u, "count", 1)[context]
+        left = 1 - np.bincount(node, c3 - DISCOUNT, len(pair)) / c2
+        arrays = EliasFano.arrays(u, "context") | level(context, pair % ids, len(u), "two") | level(node, w, len(pair), "three")
+        for name, x in (("two", share), ("left2", np.maximum(left, 1e-9)), ("three", (c3 - DISCOUNT) / c2[node])):
+            arrays[f"{name}.centre"], arrays[f"{name}.code"] = codebook(np.log10(x))
         save(folder, f"grams-{part}", arrays)
-        return pd.DataFrame({"part": [part]})
+        trim()
+        return pd.DataFrame({"part": part, "u": u, "used": np.bincount(context, share, len(u))})
+
+    used = staged(rows.mapInArrow(count_grams, "part int, block binary").groupBy("part").applyInPandas(store_grams, "part int, u bigint, used double"), "used")
+    filled = sorted(r["part"] for r in used.select("part").distinct().collect())  # one for some million tokens
+
+    # The mass that each word leaves to words alone.
+    def store_left(pdf: pd.DataFrame) -> pd.DataFrame:
+        i = int(pdf["i"].iat[0])
+        left = np.ones(int(ends[i]) - model.base[i])
+        left[pdf["u"].to_numpy(np.int64) - model.base[i]] -= pdf["used"].to_numpy(float)
+        centre, code = codebook(np.log10(np.maximum(left, 1e-9)))
+        save(folder, f"left-{model.shards[i]}", {"left.centre": centre, "left.code": code})
+        return pd.DataFrame({"i": [i]})
+
+    def with_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            i = np.searchsorted(np.array(model.base, np.int64), batch.column("u").to_numpy(), "right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), batch.column("u"), batch.column("used")], names=["i", "u", "used"])
 
-    parts = grams.select("k", "c", "pair").mapInArrow(with_part, "part int, k bigint, c bigint").groupBy("part").applyInPandas(store_grams, "part int").toPandas()["part"].tolist()
-    return Model(folder, tokens, types, bits, sorted(shards), frequent, borders, sorted(parts))
+    mass = used.groupBy("u").agg(F.sum("used").alias("used")).mapInArrow(with_shard, "i int, u bigint, used double")
+    with_left = mass.groupBy("i").applyInPandas(store_left, "i int").toPandas()["i"].tolist()
+    for i in set(range(len(ends))) - set(with_left):  # no word of the shard begins a kept pair
+        save(folder, f"left-{model.shards[i]}", {"left.centre": np.zeros(1, np.float32), "left.code": np.zeros(int(ends[i]) - model.base[i], np.uint8)})
+    return model._replace(filled=filled)
 
 
 class Reader:
     """Queries of a stored model."""
 
     def __init__(self, model: Model):
-        self.m = model
-        self.words = {s: mapped(model.folder, f"words-{s}") for s in model.shards}
-        self.by_hash = {s: EliasFano(a, "hash") for s, a in self.words.items()}
-        self.parts = {p: mapped(model.folder, f"grams-{p}") for p in model.parts}
+        self.m, self.words = model, words_of(model)
+        self.parts = {p: mapped(model.folder, f"grams-{p}") for p in model.filled}
+        self.context = {p: EliasFano(a, "context") for p, a in self.parts.items()}
         self.two = {p: Level(a, "two") for p, a in self.parts.items()}
         self.three = {p: Level(a, "three") for p, a in self.parts.items()}
-        self.f = max(1, len(model.frequent))
-        words_left = mapped(model.folder, "contexts")
-        self.left1 = words_left["left1.centre"][words_left["left1.code"]]
-
-    def counts(self, hashes: np.ndarray) -> np.ndarray:
-        """Training counts of distinct words."""
-        bits, out = self.m.bits, np.zeros(len(hashes), np.int64)
-        shard = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
-        for s in np.unique(shard).tolist():
-            if s in self.by_hash:
-                own, at = self.by_hash[s], np.flatnonzero(shard == s)
-                place, equal = own.successor(hashes[at] & np.uint64((1 << (64 - bits)) - 1), np.zeros(len(at), np.int64), np.full(len(at), own.n))
-                out[at[equal]] = self.words[s]["count"][place[equal]]
-        return out
 
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(tokens, known tokens, base score, score) of each text."""
         token, text = sequence(words(texts))
         distinct, inverse = np.unique(token, return_inverse=True)
-        count = self.counts(distinct)
+        word, count = self.words.find(distinct)
         alone = np.log10((count + 1) / (self.m.tokens + self.m.types + 1))
         n = len(texts)
         base = np.bincount(text, alone[inverse], n)
-        ids = frequent_ids(self.m.frequent, distinct)[inverse]
         logp = alone[inverse]
-        # Level 2, for all neighbours: (previous word, word).
-        part_of = lambda pair: np.searchsorted(self.m.borders, pair, "right")
+        ids = word[inverse]
+        # Level 2: the share of the pair, and of the mass that the word before leaves.
         at, (u, v) = chains(ids, text, 2)
-        key, back = np.unique(u * self.f + v, return_inverse=True)
-        ku, kv = key // self.f, key % self.f
-        node, p2 = np.full(len(key), -1), np.zeros(len(key))
-        part = part_of(key)
-        for p in np.unique(part).tolist():
-            if p in self.two:
-                own = np.flatnonzero(part == p)
-                place = self.two[p].find(ku[own] - first_context(self.m.borders, p, self.f), kv[own])
-                node[own] = place
-                ok = place >= 0
-                p2[own[ok]] = self.two[p].value(place[ok])
-        # A frequent word before leaves its mass to the word alone where the pair isn't kept.
-        before = np.full(len(ids), -1)
-        before[1:] = np.where(text[1:] == text[:-1], ids[:-1], -1)
-        after = np.flatnonzero(before >= 0)
-        logp[after] += self.left1[before[after]]
-        found = node[back] >= 0
-        logp[at[found]] = p2[back[found]]
+        key, back = np.unique(u * self.m.ids + v, return_inverse=True)
+        node, p2, part = np.full(len(key), -1), np.zeros(len(key)), part_of(key, self.m.parts)
+        order = np.argsort(part, kind="stable")
+        cut = np.searchsorted(part[order], np.arange(self.m.parts + 1))
+        for p in self.m.filled:
+            own = order[cut[p]:cut[p + 1]]
+            if not len(own):
+                continue
+            context, known = self.context[p].successor((key[own] // self.m.ids).astype(np.uint64), np.zeros(len(own), np.int64), np.full(len(own), self.context[p].n))
+            own, context = own[known], context[known]
+            node[own] = place = self.two[p].find(context, key[own] % self.m.ids)
+            ok = place >= 0
+            p2[own[ok]] = self.two[p].value(place[ok])
+        left = self.words.by_id(word, "left", 0.0)[inverse]
+        after = np.flatnonzero(text[1:] == text[:-1]) + 1
+        logp[after] += left[after - 1]
+        found = np.flatnonzero(node[back] >= 0)
+        logp[at[found]] = np.log10(10 ** logp[at[found]] + 10 ** p2[back[found]])
         # Level 3, below the pair before.
         pair = np.full(len(ids), -1)
-        pair[at] = back
-        above = np.full(len(ids), -1)
-        above[1:] = np.where(text[1:] == text[:-1], pair[:-1], -1)
+        pair[at[found]] = back[found]
+        above = np.where(np.append(False, text[1:] == text[:-1]), np.append(-1, pair[:-1]), -1)
         at = np.flatnonzero(above >= 0)
-        at = at[node[above[at]] >= 0]
         own_part = part[above[at]]
-        for p in np.unique(own_part).tolist():
-            here = at[own_part == p]
-            context = node[above[here]]
-            a = self.parts[p]
+        order = np.argsort(own_part, kind="stable")
+        cut = np.searchsorted(own_part[order], np.arange(self.m.parts + 1))
+        for p in self.m.filled:
+            here = at[order[cut[p]:cut[p + 1]]]
+            if not len(here):
+                continue
+            context, a = node[above[here]], self.parts[p]
             shorter = a["left2.centre"][a["left2.code"][context]] + logp[here]
-            words_here = ids[here]
-            some = np.flatnonzero(words_here >= 0)
-            k3, back3 = np.unique(context[some] * self.f + words_here[some], return_inverse=True)
-            place = self.three[p].find(k3 // self.f, k3 % self.f)
+            some = np.flatnonzero(ids[here] >= 0)
+            k3, back3 = np.unique(context[some] * self.m.ids + ids[here[some]], return_inverse=True)
+            place = self.three[p].find(k3 // self.m.ids, k3 % self.m.ids)
             hit = place >= 0
             value = np.zeros(len(k3))
             value[hit] = self.three[p].value(place[hit])
@@ -342,16 +414,14 @@ def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), text
     The end of a text is a token, so null and empty texts have one. Repeated rows are answered each, an empty table gives an
     empty one, a model without training texts gives every word the same probability. Other columns are ignored.
     """
-    light = model._replace(frequent=np.empty(0, np.uint64))
-    shared = docs.sparkSession.sparkContext.broadcast(model.frequent)  # at most 1 / FREQUENT words
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = once(("trie", light.folder), lambda: Reader(light._replace(frequent=shared.value)))
+        reader = once(("trie", model.folder), lambda: Reader(model))
         for part in slices(batches, text):
             n, known, base, own = reader.score(raw(part, text))
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in keep), pa.array(n.astype(np.int64)), pa.array(known), pa.array(np.full(len(n), light.tokens)), pa.array(base), pa.array(own)],
+                [*(part.column(c) for c in keep), pa.array(n.astype(np.int64)), pa.array(known), pa.array(np.full(len(n), model.tokens)), pa.array(base), pa.array(own)],
                 names=[*keep, "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
