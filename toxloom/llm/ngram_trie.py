@@ -318,7 +318,9 @@ def train(docs: DataFrame, text: str = "text") -> Model:
         trim()
         return pd.DataFrame({"part": part, "u": u, "used": np.bincount(context, share, len(u))})
 
-    used = staged(rows.mapInArrow(count_grams, "part int, block binary").groupBy("part").applyInPandas(store_grams, "part int, u bigint, used double"), "used")
+    # As many shuffle partitions as parts, so that no task's share grows with the corpus.
+    dealt = rows.mapInArrow(count_grams, "part int, block binary").repartition(parts, "part")
+    used = staged(dealt.groupBy("part").applyInPandas(store_grams, "part int, u bigint, used double"), "used")
     filled = sorted(r["part"] for r in used.select("part").distinct().collect())  # one for some million tokens
 
     # The mass that each word leaves to words alone.
