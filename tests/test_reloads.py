@@ -76,3 +76,19 @@ def test_two_runs_of_one_range(spark, tmp_path, monkeypatch):
     C.load_ranges(spark, source, root, size=10)
     with pytest.raises(RuntimeError, match="another run"):
         C.load_ranges(spark, source, root, size=10)
+
+
+def test_ranges_of_a_wave_are_one_job(spark, tmp_path, rows):
+    source = spark.range(-7, 101).where("id not between 40 and 59").withColumn("v", F.col("id") * 2)
+    totals = {"rows": F.count("*"), "highest": F.max("v")}
+    seen = []
+    load = lambda root, **k: C.load_ranges(spark, source, root, lambda df: seen.append(1) or df.where("id <> 3"), size=10, totals=totals, **k)
+    one, many = f"{tmp_path}/one", f"{tmp_path}/many"
+    assert load(one) == 11 and len(seen) == 11
+    seen.clear()
+    assert load(many, most=1, wave=6) == 1 and load(many, most=8, wave=6) == 8 and load(many, wave=6) == 2 and len(seen) == 4
+    told = lambda root: [(r["lo"], r["hi"], r["totals"]) for r in C.journal(spark, root)]
+    assert told(many) == told(one)
+    assert (43, 53, {"rows": 0, "highest": None}) in told(many)
+    assert rows(C.read_ranges(spark, many)) == rows(C.read_ranges(spark, one))
+    assert rows(C.range_totals(spark, many)) == rows(C.range_totals(spark, one))
