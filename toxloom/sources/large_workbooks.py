@@ -23,6 +23,7 @@ from toxloom.functions.cells import na_to_null
 from toxloom.operators.joins import lookup_join
 from toxloom.session import staged
 from toxloom.sources import workbooks as W
+from toxloom.sources.batches import sliced
 
 PART_BYTES = 1 << 20  # of XML in a part; a longer row is a part of its own
 READ = 1 << 18
@@ -152,7 +153,7 @@ def _parsed_sheets(parts: DataFrame) -> DataFrame:
     names = ["path", "number", "cells", "refs", "error"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 4):
             for path, first, last, xml, dates in zip(*(batch.column(c).to_pylist() for c in ("path", "first", "last", "xml", "dates"))):
                 out: list[tuple] = []
                 try:
@@ -168,7 +169,7 @@ def _parsed_sheets(parts: DataFrame) -> DataFrame:
 def _parsed_texts(parts: DataFrame) -> DataFrame:
     """path, ref, text of the shared texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 4):
             for path, first, xml in zip(*(batch.column(c).to_pylist() for c in ("path", "first", "xml"))):
                 texts = []
                 for _, item in ElementTree.iterparse(io.BytesIO(xml)):

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from toxloom.functions.cells import named
 from toxloom.schemas import ABSENT_MARK
+from toxloom.sources.batches import sliced
 from toxloom.streaming.stored import read_stored
 
 # Elements without content, and elements whose text is not page text.
@@ -181,8 +182,8 @@ def _table_rows(html: str | None) -> list[tuple[list[str], list[list[str]]]]:
 def html_table_rows(pages: DataFrame, keys: Sequence[str], html: str = "html", partitions: int | None = None) -> DataFrame:
     """Rows of the first table of each page: position, the page's header texts, cell texts and list items per cell.
 
-    The header row is row 0. Pages are parsed where they lie, one Arrow batch at a time. Parsing costs far more than
-    moving a page, so give `partitions` where the pages lie in few files.
+    The header row is row 0. Pages are parsed where they lie, some MB of an Arrow batch at a time, as the pieces of a page take many times its size.
+    Parsing costs far more than moving a page, so give `partitions` where the pages lie in few files.
     """
     fields = pages.select(*map(named, keys)).schema.fields
     schema = T.StructType([
@@ -197,7 +198,7 @@ def html_table_rows(pages: DataFrame, keys: Sequence[str], html: str = "html", p
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings = pa.list_(pa.string())
         types = [pa.int32(), strings, strings, pa.list_(strings)]
-        for batch in batches:
+        for batch in sliced(batches, width):
             page, rows = [], []
             for i, text in enumerate(batch.column(width).to_pylist()):
                 found = _table_rows(text)

@@ -149,9 +149,10 @@ def workbook_columns(files: DataFrame, most: int = WIDEST) -> list[str]:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             paths, at, names = [], [], []
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for i in range(batch.num_rows):  # one body at a time
+                path = batch.column(0)[i].as_py()
                 try:
-                    header = _header(next(_sheet_rows(content), []))
+                    header = _header(next(_sheet_rows(batch.column(1)[i].as_py()), []))
                 except Exception:
                     continue
                 paths.extend([path] * len(header))
