@@ -47,3 +47,13 @@ def test_copies_nulls_and_empty_texts(spark, rows):
     want = sorted(((a, b) for a, x in data for b, y in data if x is not None and y is not None and (x in y or y in x)), key=repr)
     assert rows(X.substring_self_link(df, "id", "text", "other")) == want
     assert X.substring_self_link(df.limit(0), "id", "text", "other").count() == 0
+
+
+def test_short_texts_meet_only_what_holds_them(spark, rows):
+    names = [(i, f"BUILDING Customer#{i * 7919:09d}") for i in range(200)]
+    keys = [(i, str(i)) for i in [*range(100, 1000, 3), *range(1000, 100_000, 97)]]
+    l, r = spark.createDataFrame(names, "id int, text string"), spark.createDataFrame(keys, "id int, text string")
+    want = sorted(((a, b) for a, x in names for b, y in keys if y in x), key=repr)
+    assert rows(X._links_large(l, r, 0)) == want and rows(X._links_small(l, r)) == want
+    (_, hay), (_, needles) = X._distinct_texts(l), X._distinct_texts(r)
+    assert X._candidates(hay, needles, 0).distinct().count() == len(want)

@@ -18,7 +18,7 @@ from toxloom.functions.cells import each, named
 from toxloom.operators.joins import broadcastable, lookup_join
 from toxloom.session import staged
 
-# Texts of one side with no more characters than this in all may be broadcast: six grams a character at most, each a
+# Texts of one side with no more characters than this in all may be broadcast: nine grams a character at most, each a
 # row of two numbers. A wiki's titles take about half of it.
 SMALL_CHARS = 1 << 19
 OFFERED = 32
@@ -32,7 +32,8 @@ HEAVY_SHARE = 0.01  # of the sketched texts that hold a gram to be avoided
 PHRASE = 4          # words between the two grams of a phrase
 
 # (starts after a blank, length), in order of preference. The last one fits every text.
-CLASSES = [(True, 16), (True, 8), (False, 6), (False, 2), (False, 1), (False, 0)]
+# Texts too short for a gram of six give themselves, as two characters of them would lie in nearly every containing text.
+CLASSES = [(True, 16), (True, 8), (False, 6), (False, 5), (False, 4), (False, 3), (False, 2), (False, 1), (False, 0)]
 
 
 def _grams(text: Column, kind: tuple[bool, int]) -> Column:
@@ -59,7 +60,7 @@ def _needle_grams(text: Column) -> Column:
 
 
 def _kinds_of(needles: DataFrame) -> dict[tuple[bool, int], int]:
-    """The classes the needles use, with their counts: at most six rows come to the driver."""
+    """The classes the needles use, with their counts: at most nine rows come to the driver."""
     counts = needles.groupBy(_kind(F.col("text")).alias("kind")).count().collect()
     return {CLASSES[r[0]]: r[1] for r in sorted(counts)}
 
@@ -136,7 +137,7 @@ def _links_small(left: DataFrame, right: DataFrame) -> DataFrame:
         .select(F.col("id").alias("l"), "r")
     )
     shorter = left.where(F.length("text") <= _longest(right))
-    grams = _hay_grams(right, CLASSES, "id").withColumnRenamed("id", "r")  # at most 6 * SMALL_CHARS rows, no texts
+    grams = _hay_grams(right, CLASSES, "id").withColumnRenamed("id", "r")  # at most 9 * SMALL_CHARS rows, no texts
     hay = right.select(F.col("id").alias("r"), F.col("text").alias("hay"))
     up = (
         _first_anchors(shorter)
