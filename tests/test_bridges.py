@@ -91,3 +91,17 @@ def test_loads_in_either_order_give_one_graph(spark, tmp_path, rows):
     wiki.load_relations(spark, root, spark.createDataFrame([(3, "Z", "A2", 0)], "id bigint, up string, down string, seq int"), ["seq"])
     got = rows(wiki.stored_causes(spark, root))
     assert ("id:13", "rel:3") in got and ("rel:3", "id:10") in got and ("title:A", "rel:3") not in got and ("title:A", "rel:1") in got
+
+
+def test_changes_are_computed_once(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            calls.add(batch.num_rows)
+            yield batch
+
+    pairs = spark.range(100).selectExpr("id AS src", "id % 7 AS key", "1 AS sign").mapInArrow(counted, "src bigint, key bigint, sign int")
+    nodes = spark.range(5).selectExpr("id AS key", "id AS node", "1 AS sign")
+    version = B.change_bridge(spark, f"{tmp_path}/b", pairs, nodes)
+    assert B.bridge_edges(spark, version).count() == sum(i % 7 < 5 for i in range(100)) and calls.value == 100

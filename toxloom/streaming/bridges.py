@@ -19,6 +19,7 @@ from toxloom.functions.cells import named
 from toxloom.operators.graph import has_keys
 from toxloom.operators.joins import lookup_join
 from toxloom.operators.unnest import unnest_ids
+from toxloom.session import staged
 from toxloom.streaming import stored
 
 PAIR, NODE, EDGE = "pair", "node", "edge"
@@ -49,8 +50,9 @@ def change_bridge(
     base = stored.open_version(spark, root)
     pairs = has_keys(pairs.select(named(src).alias("src"), "key", F.col("sign").cast("bigint").alias("sign")), ["src", "key"])
     nodes = has_keys(nodes.select("key", "node", F.col("sign").cast("bigint").alias("sign")), ["key", "node"])
-    pairs = pairs.groupBy("src", "key").agg(F.sum("sign").alias("sign")).where("sign <> 0")
-    nodes = nodes.groupBy("key", "node").agg(F.sum("sign").alias("sign")).where("sign <> 0")
+    # The changes and the counts they lead to are read several times. Written once, no task holds their aggregates and the joins after them at a time.
+    pairs = staged(pairs.groupBy("src", "key").agg(F.sum("sign").alias("sign")).where("sign <> 0"), "pairs")
+    nodes = staged(nodes.groupBy("key", "node").agg(F.sum("sign").alias("sign")).where("sign <> 0"), "nodes")
     kinds = {"key": pairs.schema["key"].dataType.simpleString(), "src": pairs.schema["src"].dataType.simpleString(), "node": nodes.schema["node"].dataType.simpleString()}
     keys = pairs.select("key").unionByName(nodes.select(F.col("key").cast(kinds["key"]).alias("key"))).distinct()
 
@@ -62,8 +64,8 @@ def change_bridge(
         if old is None:
             old = rows(pairs.limit(0), PAIR, F.lit(0), F.lit(0))
         of = lambda side: old.where(F.col("side") == side)
-        p = _presence(of(PAIR), pairs, ["key", "src"])
-        n = _presence(of(NODE), nodes, ["key", "node"])
+        p = staged(_presence(of(PAIR), pairs, ["key", "src"]), "pair-counts")
+        n = staged(_presence(of(NODE), nodes, ["key", "node"]), "node-counts")
         # Nodes of the changed keys before and after, and where none bears the key, its stub.
         known = n.join(keys, "key", "left_semi")
         borne = known.select("key", "node", F.col("before").cast("int").alias("was"), F.col("after").cast("int").alias("now"))
