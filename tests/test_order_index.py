@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from toxloom.operators import order_index as O
+from toxloom.operators import ordering as P
 
 
 def test_pages_and_tokens(spark, tmp_path, rows):
@@ -32,3 +33,11 @@ def test_an_empty_order(spark, tmp_path):
     index = O.build_order(spark.range(0), ["id"], f"{tmp_path}/o")
     assert O.total(index) == 0 and O.stored_page(index, 0, 5).count() == 0 and O.page_after(index, (3,), 5).count() == 0
     assert O.stored_page(O.build_order(spark.range(3), ["id"], f"{tmp_path}/p"), 1, 5).select(F.sum("id")).first()[0] == 3
+
+
+def test_more_rows_are_sorted_in_more_parts(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(P, "PART_ROWS", 50)
+    df = spark.range(700).select((F.col("id") * 37 % 700).alias("k"))
+    index = O.build_order(df, ["k"], f"{tmp_path}/o")
+    assert index.files.count() >= 10 and index.files.agg(F.max("n")).first()[0] < 200
+    assert rows(P.assign_ids(df, ["k"])) == sorted(((k + 1, k) for k in range(700)), key=repr)

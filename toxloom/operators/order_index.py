@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from toxloom.functions.cells import named
+from toxloom.operators.ordering import parts_of
 
 PLACE = "_place"
 
@@ -32,7 +33,7 @@ def _key(order_by: Sequence[str]) -> Column:
 def build_order(df: DataFrame, order_by: Sequence[str], root: str, partitions: int | None = None) -> OrderIndex:
     """Write the rows in order, and the index. The order should tell all rows apart: rows that tie have no fixed place among each other."""
     spark, order_by = df.sparkSession, list(order_by)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or parts_of(df)
     order = [named(c) for c in order_by]
     (
         df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())

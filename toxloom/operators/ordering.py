@@ -13,6 +13,12 @@ from toxloom.session import work_folder
 
 TOP_ROWS = 100_000  # a page that ends within this many rows is a plain top-k
 SAMPLE = 1_000  # rows of which two give the borders around a deep page
+PART_ROWS = 500_000  # rows that a task sorts; larger tables are cut into more parts
+
+
+def parts_of(df: DataFrame) -> int:
+    """Parts in which to sort the rows: the session's number, or as many as bound them."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // PART_ROWS))
 
 
 def assign_ids(df: DataFrame, order_by: Sequence[str], column: str = "id", partitions: int | None = None, start: int = 0) -> DataFrame:
@@ -23,7 +29,7 @@ def assign_ids(df: DataFrame, order_by: Sequence[str], column: str = "id", parti
     are cut over the whole order tuple, so a lead value that many rows share is cut too.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or parts_of(df)
     order = [named(c) for c in order_by]
     path = work_folder(spark, "ordered")
     (
