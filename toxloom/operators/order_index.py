@@ -39,8 +39,13 @@ def build_order(df: DataFrame, order_by: Sequence[str], root: str, partitions: i
         df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
         .write.option("maxRecordsPerFile", 0).parquet(f"{root}/rows")
     )
-    rows = spark.read.parquet(f"{root}/rows").select("_part", F.col("_metadata.file_path").alias("file"), _key(order_by).alias("k"))
-    files = rows.groupBy("_part", "file").agg(F.count("*").alias("n"), F.min("k").alias("low"), F.max("k").alias("high"))
+    rows = spark.read.parquet(f"{root}/rows").select(
+        "_part", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), _key(order_by).alias("k"),
+    )
+    counts = rows.groupBy("_part", "file").agg(F.count("*").alias("n"))  # one row per file
+    # A file's first and last row hold its ends: an aggregate over the keys of all rows would sort them again.
+    ends = rows.join(F.broadcast(counts), ["_part", "file"]).where((F.col("row") == 0) | (F.col("row") == F.col("n") - 1))
+    files = ends.groupBy("_part", "file").agg(F.any_value("n").alias("n"), F.min("k").alias("low"), F.max("k").alias("high"))
     before = F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # one row per file
     files.select("file", F.coalesce(before, F.lit(0)).alias("start"), "n", "low", "high").write.parquet(f"{root}/index")
     return open_order(spark, root, order_by)
