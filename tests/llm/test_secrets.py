@@ -120,3 +120,33 @@ def test_no_network(spark):
     assert S.train(df) is None and S.train(df.limit(0)) is None
     assert [[f.kind for f in r.findings] for r in S.scan(df, None).orderBy("doc_id").collect()] == [[], [], ["assign"]]
     assert S.scan(df.limit(0), None).count() == 0
+
+
+def test_all_findings_are_learned_from(spark):
+    """More findings of a label than a shard holds: none is left out."""
+    texts = [(n, " ".join(f"item-{n}-{i}-of-many" for i in range(100))) for n in range(240)] + [(1000 + n, f"secret=a1b2c3d4e5f6{n:04d}") for n in range(50)]
+    found = S.labelled_findings(spark.createDataFrame(texts, "doc_id bigint, text string")).groupBy("label").count()
+    assert {r[0]: r[1] for r in found.collect()} == {0: 24_000, 1: 50}
+
+
+def test_sums_and_counts_over_rows(spark):
+    """Calibration and thresholds of a table are those of its numbers at hand."""
+    rng = np.random.default_rng(3)
+    label = (rng.random(5000) < 0.3).astype(int)
+    raw, kinds = rng.normal(2 * label - 1, 1), rng.choice(S.KINDS[:3], 5000)
+    raw[:300] = raw[0]
+    scores = spark.createDataFrame([(str(k), float(x), int(y)) for k, x, y in zip(kinds, raw, label)], "kind string, raw double, label bigint")
+    assert np.allclose(S.calibrate_rows(scores, int(label.sum()), int(5000 - label.sum())), S.calibrate(raw, label.astype(float)))
+    for recall in (0.99, 0.9, 0.0, 1.0):
+        if recall:
+            got = S.ranked(scores.where("label > 0").select("kind", "raw"), recall)
+            own = {k: np.sort(raw[(kinds == k) & (label > 0)]) for k in S.KINDS[:3]}
+            assert got == {k: x[int(np.floor((1 - recall) * len(x)))] for k, x in own.items()}
+
+
+def test_shards_learn_together(spark, corpus):
+    """Many shards, the rarer label in each; the same network again; secrets without names are found as with one."""
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in corpus], SCHEMA)
+    net, again = S.train(docs, shard=60), S.train(docs.repartition(5), shard=60)
+    assert all(np.array_equal(a, b) for a, b in zip(net[:4], again[:4])) and net.least.keys() == set(S.KINDS)
+    test_secrets_without_their_names_are_found(net)
