@@ -13,6 +13,7 @@ from toxloom.operators.joins import causes_edges, event_key, event_stubs, link_b
 from toxloom.operators.substring import substring_link
 from toxloom.operators.unnest import explode_csv_cell, explode_first_list, explode_zip_longest, flatten_rows
 from toxloom.schemas import AOP_PROPS, EVENT_LEVEL_PROPS, EVENT_PROPS, RELATION_PROPS, STRESSOR_PROPS
+from toxloom.session import staged
 from toxloom.sources.pages import table_columns
 from toxloom.streaming import bridges, stored
 
@@ -42,6 +43,8 @@ def aop_nodes(rows: DataFrame, base: DataFrame | None = None, lists: bool = Fals
     """AOP nodes. Rows unnested from list cells share an id, so the last item is what a plain upsert leaves in `mie`
     and `ao`; with `lists` all items of both stay, in order, as arrays."""
     keyed = _keyed(rows, AOP_PROPS)
+    if lists:
+        keyed = staged(keyed, "aops")  # read four times below, and what it comes from may be pages to parse
     plain = base
     if base is not None and dict(base.dtypes).get("mie", "").startswith("array"):
         plain = base.withColumns({n: F.lit(None).cast("string") for n in ("mie", "ao")})  # lists are merged below
