@@ -11,10 +11,16 @@ between them, which tells where lines that are common each meet. All this decide
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from toxloom.functions.cells import each, named
+from toxloom.llm.words import BASE, UNBASE, mix, powers, raw, slices
 from toxloom.operators.joins import broadcastable, lookup_join
 from toxloom.session import staged
 
@@ -29,19 +35,115 @@ SKETCHED = 16       # one containing text in so many is sketched, where there ar
 FULLY = 1 << 14
 HEAVY = 4096        # grams that the sketch gives at most; it tracks 16 times as many
 HEAVY_SHARE = 0.01  # of the sketched texts that hold a gram to be avoided
-PHRASE = 4          # words between the two grams of a phrase
+PHRASE = 4          # words in a phrase before the gram that ends it
+PHRASE_GRAM = 16    # characters of that gram
+PICK = 16           # one hash in so many picks a gram; texts that have such grams are found by them alone
 
 # (starts after a blank, length), in order of preference. The last one fits every text.
 # Texts too short for a gram of six give themselves, as two characters of them would lie in nearly every containing text.
 CLASSES = [(True, 16), (True, 8), (False, 6), (False, 5), (False, 4), (False, 3), (False, 2), (False, 1), (False, 0)]
+MARKS = 1 << 22     # remainders of hashes that tell which grams may be anchors, of classes with few of them
+MARKED = 1 << 18    # anchors that a class has at most for this
+PICKED = (*CLASSES[0], True)  # those of the first class that are picked by their hashes
 
 
-def _grams(text: Column, kind: tuple[bool, int]) -> Column:
-    at_word, length = kind
+class Codes(NamedTuple):
+    code: np.ndarray   # of the characters of all texts, one text after the other
+    first: np.ndarray  # of each text: its first character; one entry more than texts
+
+
+def _codes(texts: Sequence[bytes]) -> Codes:
+    read = [t.decode("utf-8", "surrogateescape") for t in texts]
+    code = np.frombuffer("".join(read).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return Codes(code, np.concatenate(([0], np.cumsum([len(t) for t in read], dtype=np.int64))))
+
+
+def _grams(t: Codes, kind: tuple, asked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of the grams of a class, of the `asked` texts or of all."""
+    at_word, length, *picked = kind
+    n = len(t.first) - 1
     if length == 0:
-        return F.array(F.lit(""))
-    start = " " if at_word else ""
-    return F.regexp_extract_all(text, F.lit(f"(?s){start}(?=(.{{{length}}}))"), F.lit(1))
+        text = np.arange(n) if asked is None else np.flatnonzero(asked)
+        return text, np.zeros(len(text), np.int64)
+    if at_word:
+        at = np.flatnonzero(t.code == 32)
+        text = np.searchsorted(t.first, at, "right") - 1
+        at += 1
+        fits = at + length <= t.first[text + 1]
+        if asked is not None:
+            fits &= asked[text]
+        at, text = at[fits], text[fits]
+        h = np.full(len(at), length, np.uint64)
+        for j in range(length):
+            h *= np.uint64(BASE)
+            h += t.code[at + j]
+    else:
+        size = np.diff(t.first) - (length - 1)
+        if asked is not None:
+            size[~asked] = 0
+        size = np.maximum(size, 0)
+        h = np.full(len(t.code), length, np.uint64)
+        for j in range(min(length, len(h))):
+            h *= np.uint64(BASE)
+            h[:len(h) - j] += t.code[j:]
+        text = np.repeat(np.arange(n), size)
+        h = h[np.arange(len(text)) + np.repeat(t.first[:-1] - (np.cumsum(size) - size), size)]
+    h = mix(h).view(np.int64)
+    keep = h % PICK == 0 if picked else slice(None)
+    return text[keep], h[keep]
+
+
+def _phrases(t: Codes, asked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of the phrases: from a word start over `PHRASE` words to a gram behind them."""
+    blank = np.flatnonzero(t.code == 32)
+    text = np.searchsorted(t.first, blank, "right") - 1
+    start, end, text = blank[:-PHRASE] + 1, blank[PHRASE:] + 1 + PHRASE_GRAM, text[:-PHRASE]
+    fits = end <= t.first[text + 1]
+    if asked is not None:
+        fits &= asked[text]
+    start, end, text = start[fits], end[fits], text[fits]
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(t.code * powers(BASE, len(t.code)), dtype=np.uint64)])
+    h = (total[end] - total[start]) * powers(UNBASE, len(t.code) + 1)[start]
+    return text, mix(h + (end - start).astype(np.uint64)).view(np.int64)
+
+
+def _distinct(text: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each hash once a text, by text and hash."""
+    order = np.lexsort((h, text))
+    text, h = text[order], h[order]
+    new = np.append(True, (text[1:] != text[:-1]) | (h[1:] != h[:-1]))[:len(h)]
+    return text[new], h[new]
+
+
+def _needle_grams(t: Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class of each text, text, hash): the distinct grams of each text's first class."""
+    kind, found = np.full(len(t.first) - 1, -1), []
+    for i, k in enumerate(CLASSES):
+        if (asked := kind < 0).any():
+            found.append(_grams(t, k, asked))
+            kind[found[-1][0]] = i
+    return kind, *_distinct(*map(np.concatenate, zip(*found)))
+
+
+def _lists(text: np.ndarray, h: np.ndarray, n: int, most: int | None = None) -> pa.Array:
+    """The hashes of each of n texts, the first `most`. They are in order of their texts."""
+    if most:
+        keep = np.arange(len(text)) - np.searchsorted(text, text) < most
+        text, h = text[keep], h[keep]
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(n + 1)).astype(np.int32)), pa.array(h))
+
+
+def _listed(texts: DataFrame, cols: Sequence[str], lists: Callable[[Codes], dict[str, pa.Array]], added: str) -> DataFrame:
+    """The columns of each text, and what `lists` makes of the texts of some rows (`added`: its schema)."""
+    read = texts.select("text", *[F.col(c).alias(f"_{c}") for c in cols])
+    schema = ", ".join([*(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in cols), added])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            made = lists(_codes(raw(part)))
+            yield pa.RecordBatch.from_arrays([*(part.column(f"_{c}") for c in cols), *made.values()], names=[*cols, *made])
+
+    return read.mapInArrow(run, schema)
 
 
 def _has_gram(text: Column, kind: tuple[bool, int]) -> Column:
@@ -54,46 +156,87 @@ def _kind(text: Column) -> Column:
     return F.coalesce(*[F.when(_has_gram(text, k), F.lit(i)) for i, k in enumerate(CLASSES)])
 
 
-def _needle_grams(text: Column) -> Column:
-    """Grams of the text's first class."""
-    return F.array_distinct(F.coalesce(*[F.when(_has_gram(text, k), _grams(text, k)) for k in CLASSES]))
-
-
 def _kinds_of(needles: DataFrame) -> dict[tuple[bool, int], int]:
     """The classes the needles use, with their counts: at most nine rows come to the driver."""
     counts = needles.groupBy(_kind(F.col("text")).alias("kind")).count().collect()
     return {CLASSES[r[0]]: r[1] for r in sorted(counts)}
 
 
-def _hay_grams(hay: DataFrame, kinds: list[tuple[bool, int]], *cols: str) -> DataFrame:
-    grams = F.array_distinct(F.concat(*[_grams(F.col("text"), k) for k in kinds]))
-    rows = hay.select(*cols, each(grams).alias("gram")).where(F.col("gram").isNotNull())
-    return rows.select(*cols, F.xxhash64("gram").alias("gram"))
+def _hay_grams(hay: DataFrame, kinds: Sequence[tuple], *cols: str, marks: dict[tuple, np.ndarray] | None = None) -> DataFrame:
+    """A row for each distinct gram of each text, as its hash. Of classes in `marks` those that are marked."""
+    def some(t: Codes, kind: tuple) -> tuple[np.ndarray, np.ndarray]:
+        text, h = _grams(t, kind)
+        if not marks or kind not in marks:
+            return text, h
+        keep = marks[kind][h % MARKS]
+        return text[keep], h[keep]
+
+    def lists(t: Codes) -> dict[str, pa.Array]:
+        return {"grams": _lists(*_distinct(*map(np.concatenate, zip(*(some(t, k) for k in kinds)))), len(t.first) - 1)}
+
+    rows = _listed(hay, cols, lists, "grams array<bigint>").select(*cols, each(F.col("grams")).alias("gram"))
+    return rows.where(F.col("gram").isNotNull())
+
+
+def _hay_phrases(hay: DataFrame, *cols: str) -> DataFrame:
+    def lists(t: Codes) -> dict[str, pa.Array]:
+        return {"grams": _lists(*_distinct(*_phrases(t)), len(t.first) - 1)}
 
+    rows = _listed(hay, cols, lists, "grams array<bigint>").select(*cols, each(F.col("grams")).alias("gram"))
+    return rows.where(F.col("gram").isNotNull())
 
-def _first_anchors(needles: DataFrame) -> DataFrame:
-    """One anchor per needle, no shuffle."""
-    first = F.get(_needle_grams(F.col("text")), 0)
-    return needles.select("id", "text", F.xxhash64(first).alias("gram"))
 
+def _marks(anchors: DataFrame, counts: dict[int, int]) -> dict[tuple, np.ndarray]:
+    """Remainders of the anchors' hashes, of classes with `MARKED` anchors at most: that many numbers a class come to the driver."""
+    rows = anchors.where(F.col("kind").isin([k for k, n in counts.items() if n <= MARKED])).select("kind", F.pmod("gram", F.lit(MARKS)).alias("mark")).distinct()
+    marks: dict[tuple, np.ndarray] = {}
+    for kind, mark in zip(*(c.to_numpy() for c in rows.toArrow().columns)):
+        marks.setdefault(_listed_as(kind), np.zeros(MARKS, bool))[mark] = True
+    return marks
 
-def _rare_anchors(needles: DataFrame, grams: Column | None = None, heavy: list[int] | None = None) -> DataFrame:
-    """(id, gram, common): one anchor per needle. Of its grams outside `heavy` the one fewest needles share, so common phrases do not
-    pair everything; `common` is true where all its grams are heavy.
 
-    Any gram of a needle is an exact anchor, so a long text only offers the `OFFERED` grams of lowest hash.
+def _listed_as(kind: int) -> tuple:
+    return PICKED if kind < 0 else CLASSES[kind]
+
+
+def _offers(needles: DataFrame, cols: Sequence[str], heavy: Sequence[int] = ()) -> DataFrame:
+    """The columns, kind, common, grams, phrases: what each needle may be found by.
+
+    Of its grams outside `heavy`; `common` is true where all are heavy, and only then there are phrases. Where some of the grams of the first
+    class are of those that one hash in `PICK` tells, only they are offered, and the kind is -1: containing texts then list no others.
+
+    Any gram of a needle is an exact anchor, so a text without picked grams only offers the `OFFERED` grams of lowest hash. All picked grams
+    are offered, so that a gram's count does not depend on the lengths of the texts that hold it.
+    """
+    avoided = np.array(heavy, np.int64)
+
+    def lists(t: Codes) -> dict[str, pa.Array]:
+        n = len(t.first) - 1
+        kind, text, h = _needle_grams(t)
+        rare = ~np.isin(h, avoided)
+        common = np.bincount(text[rare], minlength=n) == 0
+        picked = rare & (kind[text] == 0) & (h % PICK == 0)
+        some = np.bincount(text[picked], minlength=n) > 0
+        kind[some] = -1
+        keep = np.where(some[text], picked, rare | common[text])
+        text, h = text[keep], h[keep]
+        keep = some[text] | (np.arange(len(text)) - np.searchsorted(text, text) < OFFERED)
+        phrases = _distinct(*_phrases(t, common)) if common.any() else (text[:0], h[:0])
+        return {"kind": pa.array(kind.astype(np.int8)), "common": pa.array(common), "grams": _lists(text[keep], h[keep], n), "phrases": _lists(*phrases, n, OFFERED)}
+
+    return _listed(needles, cols, lists, "kind tinyint, common boolean, grams array<bigint>, phrases array<bigint>")
+
+
+def _rare_anchors(offers: DataFrame, grams: str = "grams") -> DataFrame:
+    """(id, gram): one anchor per needle, the offered gram that fewest needles share, so common phrases do not pair everything.
+
     The counts come out of an explode, which Spark's size estimate does not see, so the join is told not to
     broadcast them.
     """
-    hashes = F.array_sort(F.transform(_needle_grams(F.col("text")) if grams is None else grams, lambda g: F.xxhash64(g)))
-    keyed = needles.select("id", hashes.alias("all"))
-    rare = F.array_except("all", F.array(*[F.lit(h).cast("bigint") for h in heavy])) if heavy else F.col("all")
-    keyed = keyed.select("id", "all", rare.alias("rare"))
-    offered = F.when(F.size("rare") > 0, F.col("rare")).otherwise(F.col("all"))
-    one = keyed.select("id", (F.size("rare") == 0).alias("common"), each(F.slice(offered, 1, OFFERED)).alias("gram"))
+    one = offers.select("id", each(F.col(grams)).alias("gram")).where(F.col("gram").isNotNull())
     counts = one.groupBy("gram").agg(F.count("*").alias("n"))
     ranked = lookup_join(one, counts.hint("merge"), "gram", "inner", ["id"])
-    return ranked.groupBy("id").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.any_value("common").alias("common"))
+    return ranked.groupBy("id").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
 
 
 def _heavy(hay: DataFrame, kinds: list[tuple[bool, int]]) -> list[int]:
@@ -105,11 +248,6 @@ def _heavy(hay: DataFrame, kinds: list[tuple[bool, int]]) -> list[int]:
     return [t["item"] for t in top or [] if t["count"] > max(2, HEAVY_SHARE * n)]
 
 
-def _phrases(text: Column) -> Column:
-    """From a word start over `PHRASE` words to a gram behind them."""
-    return F.regexp_extract_all(text, F.lit(f"(?s) (?=((?:[^ ]* ){{{PHRASE}}}.{{16}}))"), F.lit(1))
-
-
 def _side(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(named(key).alias("id"), named(text).alias("text")).where(F.col("text").isNotNull())
 
@@ -129,7 +267,7 @@ def _is_small(texts: DataFrame) -> bool:
 def _links_small(left: DataFrame, right: DataFrame) -> DataFrame:
     """The right side is within `SMALL_CHARS`: the left side is never shuffled."""
     kinds = list(_kinds_of(right)) or CLASSES[-1:]
-    anchors = _rare_anchors(right, heavy=_heavy(left, kinds)).drop("common").join(right, "id")  # one row per right row
+    anchors = _rare_anchors(_offers(right, ["id"], _heavy(left, kinds))).join(right, "id")  # one row per right row
     down = (
         _hay_grams(left, kinds, "id", "text")
         .join(F.broadcast(anchors.select(F.col("id").alias("r"), F.col("text").alias("needle"), "gram")), "gram")
@@ -140,7 +278,7 @@ def _links_small(left: DataFrame, right: DataFrame) -> DataFrame:
     grams = _hay_grams(right, CLASSES, "id").withColumnRenamed("id", "r")  # at most 9 * SMALL_CHARS rows, no texts
     hay = right.select(F.col("id").alias("r"), F.col("text").alias("hay"))
     up = (
-        _first_anchors(shorter)
+        _offers(shorter, ["id", "text"]).select("id", "text", F.get("grams", 0).alias("gram"))
         .join(F.broadcast(grams), "gram")
         .join(F.broadcast(hay), "r")
         .where(F.contains("hay", "text") & (F.col("hay") != F.col("text")))
@@ -152,16 +290,17 @@ def _links_small(left: DataFrame, right: DataFrame) -> DataFrame:
 def _candidates(hay: DataFrame, needles: DataFrame, small: int) -> DataFrame:
     """(hay id, needle id) of texts that share the needle's anchor; every pair of which hay contains needle is among them.
 
-    Anchors of the rarest classes, up to `small` in all, are broadcast and meet the grams where those arise; the
+    Texts offer their grams once, in a table. Anchors of the rarest classes, up to `small` in all, are broadcast and meet the grams where those arise; the
     grams of other classes shuffle. Only ids and lengths travel.
     """
-    needles = needles.where(F.length("text") <= _longest(hay))
+    if needles is not hay:
+        needles = needles.where(F.length("text") <= _longest(hay))
     kinds = _kinds_of(needles)
     if not kinds:
         return hay.select(F.col("id").alias("h"), F.col("id").alias("n")).limit(0)
-    keyed = needles.withColumns({"kind": _kind(F.col("text")), "n_len": F.length("text")})
     heavy = _heavy(hay, list(kinds))
-    anchors = _rare_anchors(needles, heavy=heavy).join(keyed.select("id", "kind", "n_len").hint("merge"), "id")
+    offers = staged(_offers(needles.withColumn("n_len", F.length("text")), ["id", "n_len"], heavy), "offers")
+    anchors = _rare_anchors(offers).join(offers.select("id", "kind", "n_len").hint("merge"), "id")
     hay_sized = hay.select(F.col("id").alias("h"), "text", F.length("text").alias("h_len"))
     found = []
 
@@ -170,23 +309,21 @@ def _candidates(hay: DataFrame, needles: DataFrame, small: int) -> DataFrame:
         hits = lookup_join(grams, F.broadcast(own) if few else own.hint("merge"), "gram", "inner", ["h"])
         found.append(hits.where(F.col("n_len") <= F.col("h_len")).select("h", "n"))
 
-    if heavy:
-        anchors = staged(anchors, "anchors")
-        worded = keyed.join(anchors.where("common").select("id"), "id", "left_semi").where(F.size(_phrases(F.col("text"))) > 0)
-        phrased = staged(_rare_anchors(worded, F.array_distinct(_phrases(F.col("text")))).join(keyed.select("id", "n_len").hint("merge"), "id"), "phrases")
-        n = phrased.count()
-        if n:
-            anchors = anchors.join(phrased.select("id"), "id", "left_anti")
-            grams = hay_sized.select("h", "h_len", each(F.array_distinct(_phrases(F.col("text")))).alias("gram")).where(F.col("gram").isNotNull())
-            meet(grams.select("h", "h_len", F.xxhash64("gram").alias("gram")), phrased, n <= small)
-    few, total = [], 0
+    worded = offers.where("common and size(phrases) > 0")
+    if heavy and (n := worded.count()):
+        anchors = anchors.join(worded.select("id"), "id", "left_anti")
+        phrased = staged(_rare_anchors(worded, "phrases").join(worded.select("id", "n_len").hint("merge"), "id"), "phrases")
+        meet(_hay_phrases(hay_sized, "h", "h_len"), phrased, n <= small)
+    anchors = staged(anchors, "anchors")
+    few, total, kinds = [], 0, dict(anchors.groupBy("kind").count().collect())
     for k, n in sorted(kinds.items(), key=lambda x: x[1]):
         total += n
         if total <= small:
             few.append(k)
+    marks = _marks(anchors, kinds)
     for group in (few, [k for k in kinds if k not in few]):
         if group:
-            meet(_hay_grams(hay_sized, group, "h", "h_len"), anchors.where(F.col("kind").isin([CLASSES.index(k) for k in group])), group is few)
+            meet(_hay_grams(hay_sized, [*map(_listed_as, sorted(group))], "h", "h_len", marks=marks), anchors.where(F.col("kind").isin(group)), group is few)
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
