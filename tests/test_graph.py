@@ -100,6 +100,16 @@ def test_resolve_events(spark, rows):
     ], key=repr)
 
 
+def test_relations_meet_events_in_blocks(spark):
+    """Edges of an event to a block follow each other, so that a written table takes little room; titles may be null, rows repeat."""
+    rel = spark.range(1000).selectExpr("id", "'t' AS up", "IF(id % 2 = 0, 'seg', null) AS down")
+    events = spark.createDataFrame([(i, "t") for i in range(50)] + [(99, None)], "id bigint, title string")
+    got = [tuple(r) for r in J.causes_edges(rel.unionByName(rel), events).collect()]
+    assert sorted(got) == sorted([(f"id:{e}", f"rel:{r}") for r in range(1000) for e in range(50)] + [(f"rel:{r}", "title:seg") for r in range(0, 1000, 2)])
+    ups = [src for src, _ in got if src.startswith("id:")]
+    assert sum(a != b for a, b in zip(ups, ups[1:])) <= 50 * 2 * -(-1000 // J.BLOCK)
+
+
 def test_audit(spark, rows):
     e = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
     c = spark.createDataFrame([("b",), ("c",), ("b",)], "k string")
