@@ -27,3 +27,26 @@ def test_no_link_is_lost(spark, rows):
     want = sorted(((a, b) for a, x in data for b, y in data if x in y or y in x), key=repr)
     for small in (0, 20, X.SMALL_ANCHORS):
         assert rows(X.substring_self_link(df, "id", "text", "other", small)) == want
+
+
+def test_texts_go_by_numbers(spark):
+    """What shuffles are numbers of eight bytes, the same wherever a text is read; copies of a text share one."""
+    df = spark.createDataFrame([*texts(30), (900, "abc"), (901, None)], "id int, text string").where("text is not null")
+    ids, distinct = X._distinct_texts(df)
+    assert dict(ids.dtypes)["t"] == dict(distinct.dtypes)["id"] == "bigint"
+    number = {r["text"]: r["id"] for r in distinct.collect()}
+    assert len(set(number.values())) == len(number) == distinct.count() and {r["text"]: r["id"] for r in distinct.collect()} == number
+    assert {(r["id"], r["t"]) for r in ids.collect()} == {(r["id"], number[r["text"]]) for r in df.collect()}
+
+
+def test_marks_by_distinct_remainders(spark, monkeypatch):
+    """A class is marked where its anchors are many but their grams few; containing texts then list no others."""
+    monkeypatch.setattr(X, "MARKED", 20)
+    anchors = spark.createDataFrame([(i, 7919 * (i % 9), 2) for i in range(100)] + [(i, 7919 * i, 3) for i in range(100)], "id int, gram bigint, kind tinyint")
+    marks = X._marks(anchors, {2: 100, 3: 100})
+    bits = X.np.unpackbits(marks[X.CLASSES[2]], bitorder="little")
+    assert set(marks) == {X.CLASSES[2]} and X.np.flatnonzero(bits).tolist() == [7919 * i for i in range(9)]
+    df = spark.createDataFrame([(1, "BUILDING 000123456"), (2, "xyz")], "id int, text string")
+    needles = spark.createDataFrame([(7, "123456"), (8, "000123")], "id int, text string")
+    marks = X._marks(X._rare_anchors(X._offers(needles, ["id"])).withColumn("kind", X.F.lit(2)), {2: 2})
+    assert X._hay_grams(df, [X.CLASSES[2]], "id", marks=marks).count() == 2

@@ -28,7 +28,7 @@ from toxloom.session import staged
 # row of two numbers. A wiki's titles take about half of it.
 SMALL_CHARS = 1 << 19
 OFFERED = 32
-ANCHOR_BYTES = 96  # of an anchor in a hash table: a hash, an id of sixteen bytes, a length, and the row's own
+ANCHOR_BYTES = 96  # of an anchor in a hash table: a hash, an id, a length, and the row's own
 SMALL_ANCHORS = (96 << 20) // ANCHOR_BYTES  # counted anchors, over all classes, that may be broadcast
 
 SKETCHED = 16       # one containing text in so many is sketched, where there are more than FULLY
@@ -42,8 +42,8 @@ PICK = 16           # one hash in so many picks a gram; texts that have such gra
 # (starts after a blank, length), in order of preference. The last one fits every text.
 # Texts too short for a gram of six give themselves, as two characters of them would lie in nearly every containing text.
 CLASSES = [(True, 16), (True, 8), (False, 6), (False, 5), (False, 4), (False, 3), (False, 2), (False, 1), (False, 0)]
-MARKS = 1 << 22     # remainders of hashes that tell which grams may be anchors, of classes with few of them
-MARKED = 1 << 18    # anchors that a class has at most for this
+MARKS = 1 << 25     # remainders of hashes that tell which grams may be anchors, a bit each, of classes with few of them
+MARKED = 1 << 20    # remainders that the anchors of a class have at most for this
 PICKED = (*CLASSES[0], True)  # those of the first class that are picked by their hashes
 
 
@@ -168,7 +168,8 @@ def _hay_grams(hay: DataFrame, kinds: Sequence[tuple], *cols: str, marks: dict[t
         text, h = _grams(t, kind)
         if not marks or kind not in marks:
             return text, h
-        keep = marks[kind][h % MARKS]
+        at = h % MARKS
+        keep = (marks[kind][at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
         return text[keep], h[keep]
 
     def lists(t: Codes) -> dict[str, pa.Array]:
@@ -187,11 +188,14 @@ def _hay_phrases(hay: DataFrame, *cols: str) -> DataFrame:
 
 
 def _marks(anchors: DataFrame, counts: dict[int, int]) -> dict[tuple, np.ndarray]:
-    """Remainders of the anchors' hashes, of classes with `MARKED` anchors at most: that many numbers a class come to the driver."""
-    rows = anchors.where(F.col("kind").isin([k for k, n in counts.items() if n <= MARKED])).select("kind", F.pmod("gram", F.lit(MARKS)).alias("mark")).distinct()
+    """Remainders of the anchors' hashes, as bits, of the counted classes that have `MARKED` of them at most: that many numbers a class come to the driver."""
+    rows = anchors.where(F.col("kind").isin(list(counts))).select("kind", F.pmod("gram", F.lit(MARKS)).cast("int").alias("mark")).distinct()
+    few = [r["kind"] for r in rows.groupBy("kind").count().collect() if r["count"] <= MARKED]
     marks: dict[tuple, np.ndarray] = {}
-    for kind, mark in zip(*(c.to_numpy() for c in rows.toArrow().columns)):
-        marks.setdefault(_listed_as(kind), np.zeros(MARKS, bool))[mark] = True
+    for kind in few:
+        bits = np.zeros(MARKS, bool)
+        bits[rows.where(F.col("kind") == kind).select("mark").toArrow().column(0).to_numpy()] = True
+        marks[_listed_as(kind)] = np.packbits(bits, bitorder="little")
     return marks
 
 
@@ -339,10 +343,12 @@ def _contained(hay: DataFrame, needles: DataFrame, small: int) -> DataFrame:
 
 
 def _distinct_texts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(id, t) of the rows, and the distinct texts by t. They are read several times, so they are written once."""
-    rows = df.withColumn("t", F.substring(F.unhex(F.sha2("text", 256)), 1, 16))  # 128 bits name a text
-    texts = rows.groupBy(F.col("t").alias("id")).agg(F.any_value("text").alias("text"))
-    return rows.select("id", "t"), staged(texts, "texts")
+    """(id, t) of the rows, and the distinct texts by t, a number. They are read several times, so they are written once, with their numbers."""
+    rows = df.withColumn("digest", F.substring(F.unhex(F.sha2("text", 256)), 1, 16))  # 128 bits tell texts apart
+    texts = rows.groupBy("digest").agg(F.any_value("text").alias("text"))
+    texts = staged(texts.select(F.monotonically_increasing_id().alias("id"), "digest", "text"), "texts")
+    numbers = texts.select("digest", F.col("id").alias("t"))
+    return lookup_join(rows.select("id", "digest"), numbers, "digest", "inner", ["id"]).select("id", "t"), texts.select("id", "text")
 
 
 def _ids_back(left_ids: DataFrame, right_ids: DataFrame, links: DataFrame) -> DataFrame:
