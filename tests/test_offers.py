@@ -50,3 +50,12 @@ def test_marks_by_distinct_remainders(spark, monkeypatch):
     needles = spark.createDataFrame([(7, "123456"), (8, "000123")], "id int, text string")
     marks = X._marks(X._rare_anchors(X._offers(needles, ["id"])).withColumn("kind", X.F.lit(2)), {2: 2})
     assert X._hay_grams(df, [X.CLASSES[2]], "id", marks=marks).count() == 2
+
+
+def test_two_tables_with_numbers_of_their_own(spark, rows):
+    """Equal texts once, and contained ones whatever numbers the two tables give them."""
+    data = texts(40)
+    for left, right in ((data[:45], data[20:]), (data[45:], data[:45]), (data, data[::-1])):
+        l, r = spark.createDataFrame(left, "id int, text string"), spark.createDataFrame(right, "id int, text string")
+        want = sorted(((a, b) for a, x in left for b, y in right if x in y or y in x), key=repr)
+        assert rows(X._links_large(l, r, 0)) == want

@@ -334,12 +334,12 @@ def _candidates(hay: DataFrame, needles: DataFrame, small: int) -> DataFrame:
     return out
 
 
-def _contained(hay: DataFrame, needles: DataFrame, small: int) -> DataFrame:
-    """(hay id, needle id) where hay contains needle; both sides may be of any size. Texts are distinct."""
+def _contained(hay: DataFrame, needles: DataFrame, small: int, equal: bool = True) -> DataFrame:
+    """(hay id, needle id) where hay contains needle, or is equal to it, if asked; both sides may be of any size. Texts are distinct."""
     needle_texts = needles.select(F.col("id").alias("n"), F.col("text").alias("needle"))
     checked = lookup_join(_candidates(hay, needles, small).hint("merge"), needle_texts, "n", "inner", ["h"])
     checked = lookup_join(checked.hint("merge"), hay.select(F.col("id").alias("h"), "text"), "h", "inner", ["n"])
-    return checked.where(F.contains("text", "needle")).select("h", "n")
+    return checked.where(F.contains("text", "needle") & (F.lit(equal) | (F.col("text") != F.col("needle")))).select("h", "n")
 
 
 def _distinct_texts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -365,9 +365,8 @@ def _links_large(left: DataFrame, right: DataFrame, small: int) -> DataFrame:
     left_ids, left_texts = _distinct_texts(left)
     right_ids, right_texts = _distinct_texts(right)
     down = _contained(left_texts, right_texts, small).select(F.col("h").alias("lt"), F.col("n").alias("rt"))
-    up = _contained(right_texts, left_texts, small).select(F.col("n").alias("lt"), F.col("h").alias("rt"))
-    links = down.unionByName(up.where(F.col("lt") != F.col("rt")))
-    return _ids_back(left_ids, right_ids, links)
+    up = _contained(right_texts, left_texts, small, equal=False).select(F.col("n").alias("lt"), F.col("h").alias("rt"))  # numbers of two tables
+    return _ids_back(left_ids, right_ids, down.unionByName(up))
 
 
 def substring_self_link(df: DataFrame, key: str, text: str, other: str, small_anchors: int | None = None) -> DataFrame:
